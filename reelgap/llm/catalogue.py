@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelgap.llm import packing
-from reelgap.llm.scratch import table
+from reelgap.llm import bytepairs, packing, quality_classifier, quality_rules, topk, urls, warc
+from reelgap.llm.scratch import Scratch, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -20,3 +21,49 @@ def _query(f):
 @_query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), window=4096, end_id=2)
+
+
+@_query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bytepairs.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bytepairs.digest(bytepairs.decode(ids, path, public_tokenizers.PATTERN))
+
+
+def warc_digest(captures: DataFrame) -> DataFrame:
+    r = F.col("response")
+    return captures.select(F.col("metadata.page_id").alias("page_id"), r["payload_bytes"].alias("payload_bytes"), r["payload_digest"].alias("payload_digest"), r["kind"].alias("record_type"), r["refers_to"].alias("refers_to"))
+
+
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), scratch.path("archive"), min_bytes=0)
+    captures = scratch.keep(warc_digest(warc.captures(warc.read(spark, scratch.path("archive")))), "captures")
+    scratch.drop("archive")
+    return captures
+
+
+@_query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.measures(docs, quality_rules.log_ratios(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
+@_query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.classify(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+#: (verdict, host and path) of the rules; the longest that fits decides.
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+@_query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
