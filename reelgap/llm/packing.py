@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelgap.llm import wordhash
 from reelgap.llm.scratch import Scratch
 
 #: Ranks are counted in so many parts of each length, as one length may hold a third of all pieces.
@@ -94,12 +95,12 @@ def tokenised(docs: DataFrame, tokenizer_path: str, window: int, end_id: int) ->
         words, end = wordpieces.load(tokenizer_path), end_id.to_bytes(4, "little")
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.encode(text.as_py() or "") + end
-                total = len(ids) // 4
-                for at in range(0, total, window):
-                    part = ids[4 * at : 4 * (at + window)]
-                    out.append((doc_id, at, len(part) // 4, zlib.crc32(part), total))
+            for chunk in wordhash.chunks(zip(batch.column(0).to_pylist(), ((t.as_py() or "").encode() for t in batch.column(1)), strict=True)):
+                for (doc_id, _), ids in zip(chunk, words.encode([t for _, t in chunk]), strict=True):
+                    total, ids = len(ids) // 4 + 1, ids + end
+                    for at in range(0, total, window):
+                        part = ids[4 * at : 4 * (at + window)]
+                        out.append((doc_id, at, len(part) // 4, zlib.crc32(part), total))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 5, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

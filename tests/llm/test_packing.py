@@ -43,13 +43,23 @@ def test_plan_is_best_fit_decreasing():
 
 
 def test_wordpieces_equal_the_library():
-    words, whole = wordpieces.WordPieces(PATH), Tokenizer.from_file(PATH)
+    words, whole = wordpieces.Batches(PATH), Tokenizer.from_file(PATH)
     rng = random.Random(1)
     letters = "abcXYZ éÉßçñ ΣΑς 'sll'd 12½٣ \n\t\r\x0b\x1c\x85   ,.!?<|>_-“”日本語 éİ🙂"
     texts = ["", " ", "a  b", "It's 'TIS we'LL", "<|endoftext|> x<|startoftext|>", "Ελληνικός ΟΔΟΣ. ΟΔΟΣ"]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
-    for text in texts:
-        assert np.frombuffer(words.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    for some in (texts, texts[::-1], [""], [], ["a"]):
+        for text, ids in zip(some, words.encode([t.encode() for t in some]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_wordpieces_forget(monkeypatch):
+    monkeypatch.setattr(wordpieces, "MEMO", 20)
+    words, whole = wordpieces.Batches(PATH), Tokenizer.from_file(PATH)
+    for k in range(30):
+        texts = [" ".join(f"w{chr(97 + (k * i) % 26)}ord Ünd{k}" for i in range(9)), "", "the,end"]
+        for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
 def test_spans_cut_before_spaces():
