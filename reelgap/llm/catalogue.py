@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelgap.llm import bytepairs, packing, quality_classifier, quality_rules, topk, urls, warc
+from reelgap.llm import bytepairs, line_dedup, near_dup, packing, quality_classifier, quality_rules, suffix_dedup, topk, urls, warc
 from reelgap.llm.scratch import Scratch, table
 
 QUERIES: dict = {}
@@ -67,3 +67,21 @@ URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net
 @_query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op9_line_dedup"] = line_dedup.SQL
+
+
+@_query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.group(table(spark, sf_dir, "documents"), width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"), length=200)
