@@ -14,17 +14,29 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelgap.llm.fences import fenced
+
 #: Fixed: what ends a word, and what counts as a symbol.
 WHITE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 BUCKETS = 1 << 14
 #: The trusted multinomial is fitted on so many labelled documents at most, those with the smallest hashes of doc_id.
 TRUSTED = 20_000
 #: A document goes if its n-grams are on average this much (in nats) likelier in the raw corpus than in trusted text.
-THRESHOLD = -0.3
+THRESHOLD = -0.08
+
+
+def without(text: Column, characters: str) -> Column:
+    """``text`` less some ASCII characters: a byte search for each is far cheaper than a map of every character."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.coalesce(text, F.lit(""))
+    for c in WHITE[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.filter(F.split(text, " "), lambda w: w != "")
 
 
 def buckets(hashes: Column, n: int = BUCKETS) -> Column:
@@ -47,8 +59,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS, trusted: in
     ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(trusted).withColumn("_trusted", F.lit(1))
     grams = hashed(docs).select(F.col("_row.doc_id").cast("long").alias("_id"), buckets(F.col("_hashes"), n).alias("_grams"))
-    grams = grams.join(F.broadcast(ids), "_id", "left").select(F.explode("_grams").alias("_gram"), "_trusted")
-    counts = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # n rows at most
+    grams = grams.join(F.broadcast(ids), "_id", "left").select(F.explode_outer("_grams").alias("_gram"), "_trusted")
+    counts = grams.where("_gram is not null").groupBy("_gram").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # n rows at most
     raw, good = n + sum(r.raw for r in counts), n + sum(r.trusted for r in counts)
     out = [math.log(raw / good) if good > n else 0.0] * n
     for r in counts if good > n else ():
@@ -59,12 +71,12 @@ def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS, trusted: in
 def measured(docs: DataFrame, ratios: list[float]) -> DataFrame:
     """_row, and the measures and verdict beside it."""
     n, h = F.size("_hashes"), F.col("_hashes")
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
+    lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = hashed(docs).select(
         "_row", "_hashes",
         n.cast("long").alias("_n_words"),
-        F.length(F.translate("_text", WHITE, "")).cast("long").alias("_word_chars"),
-        (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("_n_symbols"),
+        F.length(without(F.col("_text"), WHITE)).cast("long").alias("_word_chars"),
+        (F.octet_length("_text") - F.octet_length(without(F.col("_text"), SYMBOLS))).cast("long").alias("_n_symbols"),
         lines.alias("_lines"),
         F.transform(F.slice(h, 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))).alias("_windows"),
         buckets(h, len(ratios)).alias("_grams"),
@@ -100,4 +112,4 @@ def measures(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD)
 
 def keep_good(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, that are kept."""
-    return judged(docs, ratios, threshold).where("_kept").select("_row.*")
+    return fenced(judged(docs, ratios, threshold), F.col("_kept")).select("_row.*")
