@@ -66,7 +66,7 @@ def enrich(df: DataFrame, date: str, language: str | None, country: str | None,
 def with_rate(df: DataFrame, date: str, rates: DataFrame, as_of: Column, source: str = "INR", target: str = "USD") -> DataFrame:
     """``rate`` of the day that holds for each row; the latest fetched of several."""
     pair = rates.where((F.col("from_currency") == source) & (F.col("to_currency") == target))
-    pair = pair.groupBy(F.col("rate_date").alias("_rate_date")).agg(F.max_by("rate", "fetched_at").alias("rate"))
+    pair = pair.groupBy(F.col("rate_date").alias("_rate_date")).agg(F.max(F.struct("fetched_at", "rate"))["rate"].alias("rate"))
     return df.withColumn("_rate_date", clean.rate_date(F.col(date), as_of)).join(pair, "_rate_date", "left").drop("_rate_date")
 
 

@@ -11,12 +11,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-FILMS = T.StructType([T.StructField("movie_name", T.StringType()), T.StructField("release_date", T.StringType()), T.StructField("language", T.StringType())])
-CAST = T.StructType.fromDDL(
-    "actor_name string, movie_name string, release_date string, language string, genre string, director string, rating decimal(38,6), votes decimal(38,6), runtime string, "
+_KINDS = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType(), "number": T.DecimalType(38, 6)}
+
+
+def _schema(text: str) -> T.StructType:
+    """Fields as "name kind, ...", without a session."""
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (f.split() for f in text.split(", "))])
+
+
+FILMS = _schema("movie_name string, release_date string, language string")
+CAST = _schema(
+    "actor_name string, movie_name string, release_date string, language string, genre string, director string, rating number, votes number, runtime string, "
     "role_position int, character_name string, awards string, streaming_platform string, status string, page_url string"
 )
-RATES = T.StructType.fromDDL("rate_date date, from_currency string, to_currency string, rate double, fetched_at timestamp")
+RATES = _schema("rate_date date, from_currency string, to_currency string, rate double, fetched_at timestamp")
 
 
 class Store:
