@@ -24,7 +24,7 @@ from reelgap.llm.scratch import Scratch, release_shuffles
 
 COORDINATES, TREES = 128, 12
 #: Nodes of at most so many classes are compared exhaustively; branching ends at this depth in any case.
-SMALL, DEPTH = 1000, 14
+SMALL, DEPTH = 5000, 14
 #: Sketches that agree in fewer coordinates than the threshold less this many standard deviations are not compared further.
 DEVIATIONS = 5
 #: Shingles that one task confirms together at most.
@@ -109,17 +109,32 @@ def confirmed(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         other = np.flatnonzero((of != of[at]) & (100 * np.minimum(sizes, sizes[at]) >= percent * np.maximum(sizes, sizes[at])))
         if sketches is not None and len(other):
             other = other[(sketches[other] == sketches[at]).sum(1) >= least]
-        for x in other.tolist():
-            if of[x] != of[at]:
-                both = len(np.intersect1d(sets[at], sets[x], assume_unique=True))
-                if 100 * both >= percent * (sizes[at] + sizes[x] - both):
+        if len(other):
+            both = shared(sets[at], [sets[x] for x in other.tolist()])
+            for x in other[100 * both >= percent * (sizes[at] + sizes[other] - both)].tolist():
+                if of[x] != of[at]:
                     edges.append((at, x))
                     of[of == of[x]] = of[at]
-        if (of == of[at]).all():
-            break
+            if (of == of[at]).all():
+                break
     return edges
 
 
+def shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members each of ``others`` has in common with ``one``; all are sorted, distinct and not empty."""
+    out, low = [], 0
+    while low < len(others):
+        high, n = low, 0
+        while high < len(others) and (high == low or n + len(others[high]) <= 1 << 18):
+            n += len(others[high])
+            high += 1
+        values = np.concatenate(others[low:high])
+        hit = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+        out.append(np.add.reduceat(hit.astype(np.int64), np.cumsum([0] + [len(s) for s in others[low : high - 1]])))
+        low = high
+    return np.concatenate(out)
+
+
 def _groups(batches: Iterator, columns: int) -> Iterator[tuple[int, list[tuple]]]:
     """(group, rows) of batches that are sorted by their first column."""
     group, rows = None, []
