@@ -10,7 +10,7 @@ rules gives the ids that merging pairs by rank gives, without a queue of merges.
 from __future__ import annotations
 
 import base64
-import hashlib
+import struct
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -37,10 +37,11 @@ class BytePairs(dict):
         super().__init__()
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.doubled = regex.compile(r"\s\s")
         self.matches: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         #: Reversed tokens: the longest that ends at a byte of the reversed input is the longest that starts there.
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
@@ -94,52 +95,51 @@ class BytePairs(dict):
                         return True
 
     def may_follow(self, left: int, right: int) -> bool:
-        if (found := self.pairs.get((left, right))) is None:
-            if len(self.pairs) >= MEMO:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.apart(left, right)
+        """Whether the two stay apart, remembered under both ranks as one number."""
+        if len(self.pairs) >= MEMO:
+            self.pairs.clear()
+        found = self.pairs[left << 20 | right] = self.apart(left, right)
         return found
 
     def merged(self, data: bytes) -> list[int]:
         """The ids of one match of the pattern."""
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        return self._walk(data, self._longest(data))
-
-    def _longest(self, data: bytes) -> list[int]:
-        size, found = len(data), [-1] * len(data)
-        for end, rank in self.automaton.iter(data[::-1].decode("latin-1")):
-            at = size - 1 - end
-            if found[at] < 0 or len(self.tokens[rank]) > len(self.tokens[found[at]]):
-                found[at] = rank
-        return found
+        return self._walk(len(data), self._longest(data))
+
+    def _longest(self, data: bytes) -> dict[int, int]:
+        """The longest token that starts at each place, by the place's distance from the last byte.
+
+        The automaton gives the words that end at a place from the longest to the shortest; read backwards, the
+        longest is what stays.
+        """
+        return dict(reversed([*self.automaton.iter(data[::-1].decode("latin-1"))]))
 
-    def _walk(self, data: bytes, longest: list[int]) -> list[int]:
-        tokens, shorter, follows = self.tokens, self.shorter, self.may_follow
-        size, dead, out, at = len(data), bytearray(len(data) + 1), [], 0
-        token = longest[0]
+    def _walk(self, size: int, longest: dict[int, int]) -> list[int]:
+        lengths, shorter, pairs, follows = self.lengths, self.shorter, self.pairs, self.may_follow
+        dead, out, at, last = set(), [], 0, size - 1
+        token = longest[last]
         while True:
-            end = at + len(tokens[token])
-            if not dead[end] and (not out or follows(out[-1], token)):
+            end = at + lengths[token]
+            if end not in dead and (not out or (pairs.get(out[-1] << 20 | token) or (out[-1] << 20 | token not in pairs and follows(out[-1], token)))):
                 out.append(token)
                 at = end
                 if at == size:
                     return out
-                token = longest[at]
+                token = longest[last - at]
             elif shorter[token] >= 0:
                 token = shorter[token]
             else:  # no token fits here: this position is never right
-                dead[at] = 1
+                dead.add(at)
                 token = out.pop()
-                at -= len(tokens[token])
+                at -= lengths[token]
 
     def match(self, match: str) -> bytes:
-        import numpy as np
-
         if (found := self.matches.get(match)) is None:
             if len(self.matches) >= MEMO:
                 self.matches.clear()
-            found = np.asarray(self.merged(match.encode()), dtype="<u4").tobytes()
+            ids = self.merged(match.encode())
+            found = struct.pack(f"<{len(ids)}I", *ids)
             if len(match) <= 64:
                 self.matches[match] = found
         return found
@@ -163,11 +163,6 @@ class BytePairs(dict):
             out += [get(" " + x) for x in rest]
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> bytes:
-        import numpy as np
-
-        return b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
 
 _LOADED: dict[tuple[str, str], BytePairs] = {}
 
@@ -196,15 +191,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """(doc_id, ids, decoded binary): the bytes that ``ids`` stand for; null ids stay null."""
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
-        pairs = load(ranks_path, pattern)
+        tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((None if i is None else pairs.decode(i) for i in map(lambda x: x.as_py(), batch.column(1))), pa.binary())], names=["doc_id", "ids", "decoded"])
+            ids = (i.as_py() for i in batch.column(1))
+            own = (None if i is None else b"".join([tokens[k] for k in np.frombuffer(i, "<u4").tolist()]) for i in ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 

@@ -27,7 +27,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bytepairs.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bytepairs.digest(bytepairs.decode(ids, path, public_tokenizers.PATTERN))
+    return bytepairs.digest(bytepairs.decode(ids, path))
 
 
 def warc_digest(captures: DataFrame) -> DataFrame:
