@@ -1,8 +1,8 @@
 """Intermediate tables in the folder that all executors share.
 
 A job that needs an intermediate result more than once writes it as Parquet under ``spark.checkpoint.dir``,
-so a lost executor costs the running tasks only. The tables of one job are dropped as soon as the next step
-has been written; what the returned DataFrame reads stays.
+so a lost executor costs the running tasks only. Large tables of a job are dropped as soon as nothing reads
+them; what the returned DataFrame reads stays.
 """
 
 from __future__ import annotations
