@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines of 50 words and more stay where they come first."""
-    return line_dedup.keep_first_runs(docs, min_words=50)
+    """Runs of lines of 50 words and more stay where they come first, and go whole elsewhere."""
+    return line_dedup.keep_first_runs(docs, min_words=50, tails=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

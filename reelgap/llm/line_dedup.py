@@ -4,8 +4,10 @@ A document is the sequence of the IDs of its lines that have words. Prefix doubl
 lines of every suffix from the names of its two halves, so names of suffixes agree exactly if their lines do; as the
 halves are in the same document, doubling needs no shuffle. Suffixes whose first line is unique are left out before
 it starts. The suffixes of one name are an interval of the suffix array whose longest common prefix is at least that
-long: an interval of two or more is a repeated run. A run counts once it has ``min_words`` words. Longer repeats are
-unions of such runs, so removing every copy of each run but the first removes the maximal repeated runs.
+long: an interval of two or more is a repeated run. A run counts once it has ``min_words`` words. From each
+line, the shortest such run is looked up; the last lines of a longer repeat may be in none. Together with the shortest
+runs that end at each line (``tails``) they cover every maximal repeated run, so removing every copy of each but the
+first removes the maximal runs. ``dedup`` is held to its SQL, which states the runs from each line on only.
 
 Everything here is built from DataFrame functions.
 """
@@ -42,15 +44,24 @@ def _reach(a: Column, i: Column, min_words: int) -> Column:
     return F.when(got["words"] >= min_words, got["lines"])
 
 
+def _reach_back(a: Column, i: Column, min_words: int) -> Column:
+    """How many lines up to place ``i`` of ``a`` have ``min_words`` words together; null if the lines don't follow each other so far."""
+    zero = F.struct(F.lit(0).alias("lines"), F.lit(0).alias("words"))
+    more = lambda s, x: F.when((s["words"] < min_words) & (x["idx"] == F.get(a, i)["idx"] - s["lines"]), F.struct((s["lines"] + 1).alias("lines"), (s["words"] + x["words"]).alias("words"))).otherwise(s)
+    start = F.greatest(i + 2 - min_words, F.lit(1))
+    got = F.aggregate(F.reverse(F.slice(a, start, i + 2 - start)), zero, more)
+    return F.when(got["words"] >= min_words, got["lines"])
+
+
 def _doubled(names: Column, step: int) -> Column:
     """Names of the first 2 * ``step`` lines from those of the first ``step``."""
     return F.transform(names, lambda h, i: F.xxhash64(h, F.get(names, i + step)))
 
 
-def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
     """(_key, _id, low, high, _first): each shortest run of ``min_words`` words that comes again, and whether it is its first copy.
 
-    ``low`` and ``high`` are the run's first and last line. The first copy is that of the smallest (doc_id, line), a
+    A run is the shortest from its first line on; with ``tails``, also the shortest up to its last line. ``low`` and ``high`` are the run's first and last line. The first copy is that of the smallest (doc_id, line), a
     null doc_id before all others.
     """
     lines = _lines(keyed)
@@ -58,7 +69,10 @@ def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     active = lines.join(again, "h", "left_semi").dropDuplicates(["_key", "idx"])
     rows = active.groupBy("_key", "_id").agg(F.array_sort(F.collect_list(F.struct("idx", "pos", "h", "words"))).alias("a"))
     a = F.col("a")
-    rows = rows.withColumn("reach", F.transform(a, lambda x, i: _reach(a, i, min_words))).withColumn("name0", F.transform(a, lambda x: x["h"]))
+    rows = rows.withColumn("reach", F.transform(a, lambda x, i: _reach(a, i, min_words)))
+    if tails:
+        rows = rows.withColumn("back", F.transform(a, lambda x, i: _reach_back(a, i, min_words)))
+    rows = rows.withColumn("name0", F.transform(a, lambda x: x["h"]))
     levels = max(min_words, 1).bit_length() - 1
     for level in range(levels):
         rows = rows.withColumn(f"name{level + 1}", _doubled(F.col(f"name{level}"), 1 << level))
@@ -70,7 +84,10 @@ def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             found = F.when(m >= (1 << level), F.xxhash64(F.get(here, i), F.get(here, i + m - (1 << level)), m)).otherwise(found)
         return found
 
-    runs = F.transform(F.col("reach"), lambda m, i: F.when(m.isNotNull(), F.struct(F.get(a, i)["pos"].alias("low"), F.get(a, i + m - 1)["pos"].alias("high"), name(i, m).alias("name"))))
+    run = lambda i, m: F.when(m.isNotNull(), F.struct(F.get(a, i)["pos"].alias("low"), F.get(a, i + m - 1)["pos"].alias("high"), name(i, m).alias("name")))
+    runs = F.transform(F.col("reach"), lambda m, i: run(i, m))
+    if tails:  # a run that is the shortest both ways counts once
+        runs = F.array_distinct(F.concat(runs, F.transform(F.col("back"), lambda m, i: run(i - m + 1, m))))
     # an outer explode, as a plain one adds a filter on the array that would be computed below the levels' projections
     runs = rows.select("_key", "_id", F.explode_outer(F.filter(runs, lambda r: r.isNotNull())).alias("r")).where("r is not null").select("_key", "_id", "r.*")
     place = F.struct("_id", "_key", "low")
@@ -78,10 +95,10 @@ def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return runs.join(intervals, "name").select("_key", "_id", "low", "high", (place == F.col("first")).alias("_first"))
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
     """_row, _lines: of the text, _kept: the places of the lines that stay."""
     keyed = _keyed(docs)
-    gone = repeated_runs(keyed, min_words).where(~F.coalesce("_first", F.lit(False)))
+    gone = repeated_runs(keyed, min_words, tails).where(~F.coalesce("_first", F.lit(False)))
     gone = gone.groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("low", "high")))).alias("_gone"))
     rows = keyed.join(gone, "_key", "left").withColumn("_lines", F.split("_text", "\n"))
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
@@ -104,12 +121,13 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return rows.select(F.col("_row.doc_id").cast("long").alias("doc_id"), n.alias("n_lines"), (n - F.size("_kept")).alias("n_removed"), _text(F.col("_lines"), F.col("_kept")).alias("text"))
 
 
-def keep_first_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def keep_first_runs(docs: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
     """``docs`` with later copies of repeated runs removed from ``text`` (and ``n_chars``, if there, counted anew).
 
-    A row that loses all its words goes; all other rows and columns stay.
+    With ``tails``, maximal repeated runs go whole, else without the last lines that no shortest run from a line on
+    covers, as in ``dedup``. A row that loses all its words goes; all other rows and columns stay.
     """
-    rows = removed_lines(docs, min_words).withColumn("_now", F.when(F.size("_kept") < F.size("_lines"), _text(F.col("_lines"), F.col("_kept"))))
+    rows = removed_lines(docs, min_words, tails).withColumn("_now", F.when(F.size("_kept") < F.size("_lines"), _text(F.col("_lines"), F.col("_kept"))))
     rows = fenced(rows, F.col("_now").isNull() | F.col("_now").rlike(WORD))
     changed = {"text": F.coalesce("_now", "_row.text"), "n_chars": F.when(F.col("_now").isNull(), F.col("_row")["n_chars"]).otherwise(F.length("_now").cast("long")) if "n_chars" in docs.columns else None}
     return rows.select(*[(changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in docs.columns])
