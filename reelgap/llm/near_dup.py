@@ -259,16 +259,34 @@ def group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     empty set and is linked with nothing; equal sets are linked, so repeated rows are; a row with a null doc_id links
     others but its doc_id is never the smallest; other columns are not read; an empty table gives no rows.
     """
-    scratch = Scratch(docs.sparkSession, "near_dup")
-    rows, roots = links(docs, width, percent, scratch)
-    rows = rows.join(roots, "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    rows = _rooted(docs, width, percent, Scratch(docs.sparkSession, "near_dup"))
     smallest = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     out = rows.join(smallest, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest")))
     return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _rooted(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """What ``links`` gives of each row, with the root of its component; none for an empty set."""
+    rows, roots = links(docs, width, percent, scratch)
+    return rows.join(roots, "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+
+
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, that ``group`` keeps: those with the smallest doc_id of their component."""
-    kept = group(docs, width, percent).where("kept").select(F.col("key").alias("_key")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("_key"))
-    return rows.join(kept, "_key", "left_semi").select("_row.*")
+    """One row of each component that ``group`` finds, all columns unchanged, and every row with an empty set.
+
+    It is that of the smallest doc_id (a null one only if there is no other), then of the smallest key; of rows that
+    repeat doc_id and text, the one whose columns come first as JSON.
+    """
+    scratch = Scratch(docs.sparkSession, "near_dup")
+    rows = _rooted(docs, width, percent, scratch)
+    keys = rows.where("root is not null").groupBy("root", "key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    first = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "copies")).alias("first")).select("first.key", "first.copies")
+    empty = rows.where("root is null").select("key", F.lit(1).cast("long").alias("copies")).distinct()
+    kept = scratch.keep(first.unionByName(empty).withColumnRenamed("key", "_key"), "kept")
+    keyed_rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("_key"))
+    out = keyed_rows.join(kept.where("copies = 1"), "_key", "left_semi").select("_row.*")
+    repeated = kept.where("copies > 1")
+    if repeated.isEmpty():
+        return out
+    one = keyed_rows.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return out.unionByName(one.select("_row.*"))

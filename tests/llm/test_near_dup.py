@@ -73,6 +73,17 @@ def test_equals_brute_force(spark, monkeypatch, small, group):
             assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(r[0] for r in got if r[3])
 
 
+def test_keeps_one_row_of_repeats(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one, "x"), (1, one, "x"), (1, one, "w"), (2, two, "x"), (2, two + " more", "x"), (None, three, "x"), (None, three + " more", "x"), (None, None, "x"), (3, two, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = near_dup.keep_one(docs, 5, 80)
+    assert kept.columns == docs.columns
+    got = {tuple(r) for r in kept.collect()}
+    assert kept.count() == 4 and {(1, one, "w"), (None, None, "x")} < got
+    assert sorted((str(i), t[0]) for i, t, _ in got if t) == [("1", "a"), ("2", "b"), ("None", "c")]
+
+
 def test_empty_table(spark):
     assert near_dup.group(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -51,6 +51,19 @@ def test_equals_the_plain_version(spark, tmp_path, monkeypatch):
     assert sum(r.length for r in out) == sum(len(whole.encode(t, add_special_tokens=False).ids) + 1 for _, t in want)
 
 
+def test_repeated_rows_stay_once(spark, tmp_path, monkeypatch):
+    text = {c: " ".join(f"{c}{i}" for i in range(80)) for c in "abcd"}
+    rows = [(1, text["a"]), (1, text["a"]), (2, text["b"]), (2, text["b"] + " more"), (None, text["c"]), (None, text["c"] + " more"), (3, text["d"])]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    folder = f"file://{tmp_path}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+    out = sorted((str(r.doc_id), r.text) for r in docs.collect())
+    assert [(i, t[0]) for i, t in out] == [("1", "a"), ("2", "b"), ("3", "d"), ("None", "c")] and {("1", text["a"]), ("3", text["d"])} < set(out)
+
+
 def test_rules_reject_unlikely_text(spark):
     good = spark.createDataFrame([(i, f"clean words of story number {i} " * 20) for i in range(20)] + [(99, "x | y | " * 40 + " ".join(map(str, range(200))))], "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
