@@ -19,8 +19,6 @@ from reelgap.llm.fences import fenced
 #: Fixed: what ends a word, and what counts as a symbol.
 WHITE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 BUCKETS = 1 << 14
-#: The trusted multinomial is fitted on so many labelled documents at most, those with the smallest hashes of doc_id.
-TRUSTED = 20_000
 #: A document goes if its n-grams are on average this much (in nats) likelier in the raw corpus than in trusted text.
 THRESHOLD = -0.08
 
@@ -51,15 +49,14 @@ def hashed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_words", words(F.col("_text"))).select("_row", "_text", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS, trusted: int = TRUSTED) -> list[float]:
+def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS) -> list[float]:
     """log(trusted / raw) of each bucket, with one added to every count; zeros without trusted documents.
 
-    All ``docs`` count as raw. Trusted are those that ``labels`` calls good and not toxic, ``trusted`` at most.
+    All ``docs`` count as raw. Trusted are all that ``labels`` calls good and not toxic.
     """
-    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()
-    ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(trusted).withColumn("_trusted", F.lit(1))
+    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("_trusted", F.lit(1))
     grams = hashed(docs).select(F.col("_row.doc_id").cast("long").alias("_id"), buckets(F.col("_hashes"), n).alias("_grams"))
-    grams = grams.join(F.broadcast(ids), "_id", "left").select(F.explode_outer("_grams").alias("_gram"), "_trusted")
+    grams = grams.join(ids, "_id", "left").select(F.explode_outer("_grams").alias("_gram"), "_trusted")
     counts = grams.where("_gram is not null").groupBy("_gram").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # n rows at most
     raw, good = n + sum(r.raw for r in counts), n + sum(r.trusted for r in counts)
     out = [math.log(raw / good) if good > n else 0.0] * n

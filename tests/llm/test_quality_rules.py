@@ -71,3 +71,10 @@ def test_kept_rows_are_unchanged(spark):
     docs = spark.createDataFrame([(1, "a b c", "x"), (2, " ".join(map(str, range(80))), "y"), (3, None, "z")], "doc_id long, text string, _kept string")
     out = rules.keep_good(docs, [0.0] * 64)
     assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [tuple(docs.collect()[1])]
+
+
+def test_all_trusted_documents_count(spark):
+    ids = spark.range(20_001)
+    docs = ids.select(F.col("id").alias("doc_id"), F.lit("word").alias("text"))
+    labels = ids.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert all(abs(r) < 1e-9 for r in rules.log_ratios(docs, labels, n=64))  # trusted and raw are the same
