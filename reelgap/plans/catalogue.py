@@ -496,6 +496,6 @@ def q_stream_folder(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("Title"), F.col("ts").cast("date").cast("string").alias("release_date"), F.col("event_id").alias("vote_count"))
     rows.coalesce(1).sortWithinPartitions("vote_count").write.option("header", True).csv(f"{root}/in")
     store = Store(spark, f"{root}/store")
-    stream = watch_folder(spark, store, f"{root}/in", f"{root}/ledger", Settings(fuzzy_max_pairs=0), once=True)
+    stream = watch_folder(spark, store, f"{root}/in", f"{root}/ledger", Settings(fuzzy_max_pairs=None), once=True)
     stream.awaitTermination()
     return store.read("films").select("movie_name", "release_date", F.col("votes").cast("double").alias("votes"))

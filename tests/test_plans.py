@@ -158,3 +158,22 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     (tmp_path / "in" / "b.csv").write_text("Title,Year,votes\nB,2001,2\n")
     run()
     assert sorted(r.movie_name for r in store.read("films").collect()) == ["A", "B"]
+
+
+def test_stream_query_matches_spellings(spark, monkeypatch):
+    from reelgap.plans import catalogue
+    from reelgap.streaming import folder
+
+    class Seen(Exception):
+        pass
+
+    def seen(spark, store, source, ledger, settings, **_):
+        raise Seen(settings.fuzzy_max_pairs)
+
+    monkeypatch.setattr(folder, "watch_folder", seen)
+    try:
+        catalogue.q_stream_folder(spark, "/root/testdata/sf0.001")
+    except Seen as e:
+        assert e.args == (None,)
+    else:
+        raise AssertionError("no stream was started")
