@@ -133,26 +133,22 @@ def keep_first_runs(docs: DataFrame, min_words: int = MIN_WORDS, tails: bool = F
     return rows.select(*[(changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
-#: The same rows as op9_line_dedup, as DuckDB reads it.
+#: The same rows as op9_line_dedup, as DuckDB reads it: equal lines of an earlier and a later place are put into runs
+#: by the distance between them; a run of 50 words and more goes in the later place.
 SQL = """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM d),
 b AS (
-  SELECT doc_id, pos, line, nw, row_number() OVER w AS idx, sum(nw) OVER w AS cw
+  SELECT doc_id, pos, line, nw, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS idx
   FROM (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS nw FROM l) WHERE nw > 0
-  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ),
-s AS (
-  SELECT a.doc_id, a.pos AS low, min(e.pos) AS high
-  FROM b a JOIN b e ON e.doc_id = a.doc_id AND e.idx >= a.idx AND e.idx < a.idx + 50 AND e.cw - a.cw + a.nw >= 50
-  GROUP BY a.doc_id, a.pos
+e AS (
+  SELECT y.doc_id, y.pos, y.nw, y.idx, x.doc_id AS early, y.idx - x.idx AS apart,
+         y.idx - row_number() OVER (PARTITION BY y.doc_id, x.doc_id, y.idx - x.idx ORDER BY y.idx) AS run
+  FROM b y JOIN b x ON x.line = y.line AND (x.doc_id < y.doc_id OR x.doc_id = y.doc_id AND x.idx < y.idx)
 ),
-n AS (
-  SELECT s.doc_id, s.low, s.high, string_agg(b.line, chr(10) ORDER BY b.pos) AS name
-  FROM s JOIN b ON b.doc_id = s.doc_id AND b.pos BETWEEN s.low AND s.high GROUP BY s.doc_id, s.low, s.high
-),
-r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, low) AS copy FROM n),
-gone AS (SELECT DISTINCT l.doc_id, l.pos FROM r JOIN l ON l.doc_id = r.doc_id AND l.pos BETWEEN r.low AND r.high WHERE r.copy > 1)
+r AS (SELECT doc_id, min(pos) AS low, max(pos) AS high FROM e GROUP BY doc_id, early, apart, run HAVING sum(nw) >= 50),
+gone AS (SELECT DISTINCT l.doc_id, l.pos FROM r JOIN l ON l.doc_id = r.doc_id AND l.pos BETWEEN r.low AND r.high)
 SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '')) AS kept_sha256
 FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id

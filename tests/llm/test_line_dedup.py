@@ -6,26 +6,22 @@ from pyspark.sql import functions as F
 from reelgap.llm import line_dedup
 
 
-def brute(rows, least):
-    """Removed line places of each (doc_id, text), by looking every run up."""
+def maximal(rows, least):
+    """Removed line places of each (doc_id, text): every pair of places is extended while the lines agree."""
     docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
-    first, gone = {}, {r: set() for r in docs}
-    found = []
+    gone, lines = {r: set() for r in docs}, {}
     for doc in docs:
-        lines = [(i, x, len(re.findall(r"[^\x20\x09-\x0D]+", x))) for i, x in enumerate((doc[1] or "").split("\n"))]
-        lines = [x for x in lines if x[2]]
-        for a in range(len(lines)):
-            words = 0
-            for b in range(a, len(lines)):
-                words += lines[b][2]
-                if words >= least:
-                    found.append((tuple(x[1] for x in lines[a : b + 1]), doc, lines[a][0], lines[b][0]))
-                    break
-    for name, doc, low, _ in found:
-        first.setdefault(name, (doc, low))
-    for name, doc, low, high in found:
-        if first[name] != (doc, low):
-            gone[doc] |= set(range(low, high + 1))
+        lines[doc] = [(i, x, n) for i, x in enumerate((doc[1] or "").split("\n")) if (n := len(re.findall(r"[^\x20\x09-\x0D]+", x)))]
+    for k, later in enumerate(docs):
+        for early in docs[: k + 1]:
+            for a in range(len(lines[later])):
+                for b in range(a if early == later else len(lines[early])):
+                    n = 0
+                    while a + n < len(lines[later]) and b + n < len(lines[early]) and lines[later][a + n][1] == lines[early][b + n][1]:
+                        n += 1
+                    run = lines[later][a : a + n]
+                    if n and sum(x[2] for x in run) >= least:
+                        gone[later] |= set(range(run[0][0], run[-1][0] + 1))
     return gone
 
 
@@ -36,7 +32,7 @@ def test_equals_brute_force(spark):
     rows += [(100 + i, rows[i][1]) for i in range(10)] + [(200, None), (201, ""), (None, rows[3][1]), rows[5], rows[5], (202, "\n".join(["a b c"] * 300)), (203, "x " * 4000 + "\n" + "x " * 4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", F.lit("clash")).withColumn("h", F.lit(1)).withColumn("n_chars", F.lit(-1).cast("long"))
     for least in (1, 8):
-        gone = brute(rows, least)
+        gone = maximal(rows, least)
         want = []
         for doc in rows:
             lines = (doc[1] or "").split("\n")
@@ -51,29 +47,10 @@ def test_equals_brute_force(spark):
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 
-def maximal(rows, least):
-    """Removed line places of each (doc_id, text): every pair of places is extended while the lines agree."""
-    docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
-    gone, lines = {r: set() for r in docs}, {}
-    for doc in docs:
-        lines[doc] = [(i, x, n) for i, x in enumerate((doc[1] or "").split("\n")) if (n := len(re.findall(r"[^\x20\x09-\x0D]+", x)))]
-    for k, later in enumerate(docs):
-        for early in docs[: k + 1]:
-            for a in range(len(lines[later])):
-                for b in range(a if early == later else len(lines[early])):
-                    n = 0
-                    while a + n < len(lines[later]) and b + n < len(lines[early]) and lines[later][a + n][1] == lines[early][b + n][1]:
-                        n += 1
-                    run = lines[later][a : a + n]
-                    if n and sum(x[2] for x in run) >= least:
-                        gone[later] |= set(range(run[0][0], run[-1][0] + 1))
-    return gone
-
-
 def test_runs_go_whole(spark):
     long, short = " ".join(f"w{i}" for i in range(60)), "a tail of five words"
     docs = spark.createDataFrame([(1, f"{long}\n{short}"), (2, f"own line\n{long}\n{short}\nlast line")], "doc_id long, text string")
-    assert {r.doc_id: r.text for r in line_dedup.keep_first_runs(docs, 50, tails=True).collect()} == {1: f"{long}\n{short}", 2: "own line\nlast line"}
+    assert {r.doc_id: r.text for r in line_dedup.keep_first_runs(docs, 50).collect()} == {1: f"{long}\n{short}", 2: "own line\nlast line"}
     rng = random.Random(5)
     pool = [" ".join(rng.choice("abcd") for _ in range(rng.choice((1, 2, 9)))) for _ in range(8)] + ["", " "]
     rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 12)))) for i in range(60)] + [(70, None), (None, "\n".join(pool))]
@@ -82,4 +59,4 @@ def test_runs_go_whole(spark):
         gone = maximal(rows, least)
         want = [(str(d[0]), "\n".join(x for i, x in enumerate((d[1] or "").split("\n")) if i not in gone[d])) for d in rows]
         want = [w for w, d in zip(want, rows, strict=True) if not gone[d] or w[1].strip()]
-        assert sorted((str(r.doc_id), r.text or "") for r in line_dedup.keep_first_runs(docs, least, tails=True).collect()) == sorted(want), least
+        assert sorted((str(r.doc_id), r.text or "") for r in line_dedup.keep_first_runs(docs, least).collect()) == sorted(want), least
