@@ -1,23 +1,29 @@
-"""Removal of repeated runs of lines, with a suffix array over line-ID sequences.
-
-A document is the sequence of the IDs of its lines that have words. Prefix doubling names the first 2, 4, 8, ...
-lines of every suffix from the names of its two halves, so names of suffixes agree exactly if their lines do; as the
-halves are in the same document, doubling needs no shuffle. Suffixes whose first line is unique are left out before
-it starts. The suffixes of one name are an interval of the suffix array whose longest common prefix is at least that
-long: an interval of two or more is a repeated run. A run counts once it has ``min_words`` words. From each
-line, the shortest such run is looked up; the last lines of a longer repeat may be in none. Together with the shortest
-runs that end at each line (``tails``) they cover every maximal repeated run, so removing every copy of each but the
-first removes the maximal runs. ``dedup`` is held to its SQL, which states the runs from each line on only.
-
-Everything here is built from DataFrame functions.
+"""Removal of repeated runs of lines, by distributed prefix doubling over line-ID sequences.
+
+A document is the sequence of the IDs (128 bits) of its lines that have words; a suffix is named by document and line,
+and has a place in the order of (doc_id, document, line). Prefix doubling gives every suffix a rank for its first 1, 2,
+4, ... lines: suffixes that agree in the ranks of both halves are one interval of the suffix array, with a common
+prefix at least that long, and their rank is the first place in the interval, so ranks are equal exactly if the lines
+are. Intervals of one are left behind after each doubling. Two overlapping ranks give the interval at any depth
+between two powers of two.
+
+A run of lines counts once it has ``min_words`` words. Its interval at the depth of the shortest such run from a line
+on, and of the shortest one up to a line, tells whether it repeats and where it comes first: a maximal repeated run is
+the union of those inside it (and of pairs of lines, for what stands between two lines with enough words each), so
+removing all but the first copy of each removes later copies of maximal runs whole.
+
+Everything here is built from DataFrame functions. A line that holds many of the rows is joined by broadcast, all
+others by shuffle, and counted by partial aggregates, so no task gets the rows of a frequent line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelgap.llm import hotkeys
 from reelgap.llm.fences import fenced
+from reelgap.llm.scratch import Scratch, release_shuffles
 
 #: Fewest words of a run that is removed.
 MIN_WORDS = 50
@@ -25,14 +31,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """_row: the row; _key: of doc_id and text, as rows that repeat both are one document; _text."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("_key"), F.col("doc_id").cast("long").alias("_id"), text.alias("_text"))
+    """_row: the row; _key: 128 bits of doc_id and text, as rows that repeat both are one document; _id; _text."""
+    text, doc_id = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("doc_id").cast("long")
+    key = F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\n"), text)))
+    return docs.select(F.struct("*").alias("_row"), key.alias("_key"), doc_id.alias("_id"), text.alias("_text"))
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    """A row for each line with words: its place among such lines (idx) and among all (pos), its ID (h), its words."""
-    lines = F.transform(F.split("_text", "\n"), lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("words")))
+    """A row for each line with words: its place among such lines (idx) and among all (pos), its ID (h, h2), its words."""
+    lines = F.transform(F.split("_text", "\n"), lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("h2"), F.regexp_count(x, F.lit(WORD)).alias("words")))
     return keyed.select("_key", "_id", F.filter(lines, lambda x: x["words"] > 0).alias("_lines")).select("_key", "_id", F.posexplode_outer("_lines").alias("idx", "line")).where("idx is not null").select("_key", "_id", "idx", "line.*")
 
 
@@ -53,53 +60,78 @@ def _reach_back(a: Column, i: Column, min_words: int) -> Column:
     return F.when(got["words"] >= min_words, got["lines"])
 
 
-def _doubled(names: Column, step: int) -> Column:
-    """Names of the first 2 * ``step`` lines from those of the first ``step``."""
-    return F.transform(names, lambda h, i: F.xxhash64(h, F.get(names, i + step)))
+def _suffixes(keyed: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
+    """(p, d, place, idx, h, h2, runs, _key) of each suffix whose first line comes again, and the runs to look up.
 
-
-def repeated_runs(keyed: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
-    """(_key, _id, low, high, _first): each shortest run of ``min_words`` words that comes again, and whether it is its first copy.
-
-    A run is the shortest from its first line on; with ``tails``, also the shortest up to its last line. ``low`` and ``high`` are the run's first and last line. The first copy is that of the smallest (doc_id, line), a
-    null doc_id before all others.
+    ``p`` follows the order of (doc_id, null first, document, line). ``d`` is that of the document's first suffix, which
+    alone has the _key; ``place`` counts from there. ``runs`` are (lines, first and last line) of runs from this suffix
+    on: the shortest with enough words, and those that are the shortest up to their last line.
     """
     lines = _lines(keyed)
-    again = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    active = lines.join(again, "h", "left_semi").dropDuplicates(["_key", "idx"])
-    rows = active.groupBy("_key", "_id").agg(F.array_sort(F.collect_list(F.struct("idx", "pos", "h", "words"))).alias("a"))
+    again = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = scratch.keep(again, "again")
+    total = again.agg(F.sum("n")).first()[0] or 0
+    active = hotkeys.joined(lines, again, ["h"], total).drop("n")
+    rows = active.groupBy("_id", "_key").agg(F.array_sort(F.collect_set(F.struct("idx", "pos", "h", "h2", "words"))).alias("a"))
     a = F.col("a")
-    rows = rows.withColumn("reach", F.transform(a, lambda x, i: _reach(a, i, min_words)))
-    if tails:
-        rows = rows.withColumn("back", F.transform(a, lambda x, i: _reach_back(a, i, min_words)))
-    rows = rows.withColumn("name0", F.transform(a, lambda x: x["h"]))
-    levels = max(min_words, 1).bit_length() - 1
+    rows = rows.withColumn("reach", F.transform(a, lambda x, i: _reach(a, i, min_words))).withColumn("back", F.transform(a, lambda x, i: _reach_back(a, i, min_words)))
+    run = lambda i, m: F.when(m.isNotNull(), F.struct(i.alias("place"), m.alias("m"), F.get(a, i)["pos"].alias("low"), F.get(a, i + m - 1)["pos"].alias("high")))
+    # a line with enough words is a run alone; with its neighbour it says whether what stands between them goes too
+    both = lambda x, i: (F.get(a, i + 1)["idx"] == x["idx"] + 1) & (F.greatest(x["words"], F.get(a, i + 1)["words"]) >= min_words)
+    twos = F.transform(a, lambda x, i: F.when(both(x, i), run(i, F.lit(2))))
+    runs = F.array_distinct(F.concat(F.transform("reach", lambda m, i: run(i, m)), F.transform("back", lambda m, i: run(i - m + 1, m)), twos))
+    rows = rows.withColumn("runs", F.filter(runs, lambda r: r.isNotNull())).select("_id", "_key", "a", "runs")
+    rows = rows.orderBy("_id", "_key").select("_key", "runs", F.posexplode("a").alias("place", "x"))
+    rows = rows.withColumn("p", F.monotonically_increasing_id())
+    first = F.col("place") == 0
+    return scratch.keep(rows.select("p", (F.col("p") - F.col("place")).alias("d"), "place", "x.idx", "x.h", "x.h2", F.when(first, F.col("_key")).alias("_key"), F.when(first, F.col("runs")).alias("runs")), "suffixes")
+
+
+def _ranks(suffixes: DataFrame, levels: int, scratch: Scratch) -> list[DataFrame]:
+    """(p, d, idx, rank) of the suffixes whose first 1, 2, 4, ... lines come again, a table for each doubling."""
+    total = suffixes.count()
+    first = suffixes.groupBy("h", "h2").agg(F.min("p").alias("rank"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    out = [scratch.keep(hotkeys.joined(suffixes.select("p", "d", "idx", "h", "h2"), first, ["h", "h2"], total).select("p", "d", "idx", "rank"), "rank0")]
     for level in range(levels):
-        rows = rows.withColumn(f"name{level + 1}", _doubled(F.col(f"name{level}"), 1 << level))
-
-    def name(i: Column, m: Column) -> Column:
-        found = F.lit(None).cast("bigint")
-        for level in range(levels + 1):  # the highest level within m lines; two overlapping halves name the m lines
-            here = F.col(f"name{level}")
-            found = F.when(m >= (1 << level), F.xxhash64(F.get(here, i), F.get(here, i + m - (1 << level)), m)).otherwise(found)
-        return found
-
-    run = lambda i, m: F.when(m.isNotNull(), F.struct(F.get(a, i)["pos"].alias("low"), F.get(a, i + m - 1)["pos"].alias("high"), name(i, m).alias("name")))
-    runs = F.transform(F.col("reach"), lambda m, i: run(i, m))
-    if tails:  # a run that is the shortest both ways counts once
-        runs = F.array_distinct(F.concat(runs, F.transform(F.col("back"), lambda m, i: run(i - m + 1, m))))
-    # an outer explode, as a plain one adds a filter on the array that would be computed below the levels' projections
-    runs = rows.select("_key", "_id", F.explode_outer(F.filter(runs, lambda r: r.isNotNull())).alias("r")).where("r is not null").select("_key", "_id", "r.*")
-    place = F.struct("_id", "_key", "low")
-    intervals = runs.groupBy("name").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return runs.join(intervals, "name").select("_key", "_id", "low", "high", (place == F.col("first")).alias("_first"))
-
-
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
+        if not (total := out[-1].count()):
+            return out[:-1]
+        ahead = Window.partitionBy("d").orderBy("idx").rangeBetween(1 << level, 1 << level)
+        pairs = out[-1].withColumnRenamed("rank", "front").withColumn("rear", F.max("front").over(ahead)).where("rear is not null")
+        first = pairs.groupBy("front", "rear").agg(F.min("p").alias("rank"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        out.append(scratch.keep(hotkeys.joined(pairs, first, ["front", "rear"], total).select("p", "d", "idx", "rank"), f"rank{level + 1}"))
+        release_shuffles(scratch.spark)
+    return out
+
+
+def repeated_runs(keyed: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS) -> DataFrame:
+    """(_key, _gone): the lines of each document that are in a later copy of a repeated run.
+
+    The first copy is that of the smallest (doc_id, document, line), a null doc_id before all others.
+    """
+    suffixes = _suffixes(keyed, min_words, scratch)
+    levels = _ranks(suffixes, max(min_words, 2).bit_length() - 1, scratch)
+    ranks = levels[0].withColumn("level", F.lit(0)) if levels else suffixes.select("p", "d", "idx", F.col("p").alias("rank"), F.lit(0).alias("level")).where(F.lit(False))
+    for level, more in enumerate(levels[1:], 1):
+        ranks = ranks.unionByName(more.withColumn("level", F.lit(level)))
+    # a run of m lines is in the interval of the ranks of its first and of its last 2**level lines
+    runs = suffixes.where("place = 0").select("d", F.explode("runs").alias("r")).select("d", (F.col("d") + F.col("r.place")).alias("p"), "r.m", "r.low", "r.high")
+    runs = runs.withColumn("level", F.floor(F.log2("m")).cast("int")).withColumn("q", F.expr("p + m - shiftleft(1, level)"))
+    ranks = ranks.select("level", "p", "rank")
+    runs = runs.join(ranks.withColumnRenamed("rank", "front"), ["level", "p"]).join(ranks.select("level", F.col("p").alias("q"), F.col("rank").alias("rear")), ["level", "q"])
+    runs = scratch.keep(runs.select("d", "p", "m", "low", "high", "front", "rear"), "runs")
+    intervals = runs.groupBy("m", "front", "rear").agg(F.min("p").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = hotkeys.joined(runs, intervals, ["m", "front", "rear"], runs.count()).where("p <> first")
+    gone = later.groupBy("d").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("low", "high")))).alias("_gone"))
+    gone = scratch.keep(suffixes.where("place = 0").select("d", "_key").join(gone, "d").select("_key", "_gone"), "gone")
+    scratch.drop("again", "suffixes", "runs", *[f"rank{k}" for k in range(len(levels) + 1)])
+    release_shuffles(scratch.spark)
+    return gone
+
+
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_row, _lines: of the text, _kept: the places of the lines that stay."""
     keyed = _keyed(docs)
-    gone = repeated_runs(keyed, min_words, tails).where(~F.coalesce("_first", F.lit(False)))
-    gone = gone.groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("low", "high")))).alias("_gone"))
+    gone = repeated_runs(keyed, Scratch(docs.sparkSession, "line_dedup"), min_words)
     rows = keyed.join(gone, "_key", "left").withColumn("_lines", F.split("_text", "\n"))
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
     return rows.select("_row", "_text", "_lines", F.coalesce(F.array_except(every, F.col("_gone")), every).alias("_kept"))
@@ -114,20 +146,20 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Lines are what ``\\n`` separates; lines without words are part of no run and go with the runs around them only. A
     null text is one empty line; rows that repeat doc_id and text are one document and give the same result each; a
-    null doc_id comes before all others; an empty table gives no rows; other columns are not read.
+    null doc_id comes before all others; a text of any length is one row and its lines are never cut; an empty table
+    gives no rows; other columns are not read.
     """
     rows = removed_lines(docs, min_words)
     n = F.size("_lines").cast("long")
     return rows.select(F.col("_row.doc_id").cast("long").alias("doc_id"), n.alias("n_lines"), (n - F.size("_kept")).alias("n_removed"), _text(F.col("_lines"), F.col("_kept")).alias("text"))
 
 
-def keep_first_runs(docs: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
+def keep_first_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated runs removed from ``text`` (and ``n_chars``, if there, counted anew).
 
-    With ``tails``, maximal repeated runs go whole, else without the last lines that no shortest run from a line on
-    covers, as in ``dedup``. A row that loses all its words goes; all other rows and columns stay.
+    What goes is what ``dedup`` removes. A row that loses all its words goes; all other rows and columns stay.
     """
-    rows = removed_lines(docs, min_words, tails).withColumn("_now", F.when(F.size("_kept") < F.size("_lines"), _text(F.col("_lines"), F.col("_kept"))))
+    rows = removed_lines(docs, min_words).withColumn("_now", F.when(F.size("_kept") < F.size("_lines"), _text(F.col("_lines"), F.col("_kept"))))
     rows = fenced(rows, F.col("_now").isNull() | F.col("_now").rlike(WORD))
     changed = {"text": F.coalesce("_now", "_row.text"), "n_chars": F.when(F.col("_now").isNull(), F.col("_row")["n_chars"]).otherwise(F.length("_now").cast("long")) if "n_chars" in docs.columns else None}
     return rows.select(*[(changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in docs.columns])
