@@ -1,17 +1,21 @@
 """Removal of byte strings that occur twice, by merging shard Burrows-Wheeler transforms.
 
 Finding what could repeat. Every 200-byte string of a document belongs to the smallest hash among its 64-byte grams,
-so equal strings belong to equal hashes. Neighbouring strings of one hash form a segment. Only segments whose hash is
-found again can hold a repeat; the others are left out.
+so equal strings belong to equal hashes. Neighbouring strings of one hash form a segment, which is named by 128 bits
+of its bytes. Only segments whose hash is found again can hold a repeat; the others are left out. A name's bytes are
+looked up once, in one of the documents that have it, and stand for all its copies by weight.
 
 Finding what does repeat. Segments of one hash meet in a task and are put into shards. A shard's suffixes are sorted,
 which gives its Burrows-Wheeler transform, in symbols of eight bytes, and the map from each suffix to the one that
 starts a symbol earlier. The transforms are merged by interleave refinement: from the interleaving of all suffixes
 by their first h bytes, walking it and dropping each preceding symbol into its bucket gives that by the first h + 8
-bytes, and where symbol or interval changes, a common prefix ends. Intervals of a single suffix are left behind, as
-nothing before them can be repeated. The intervals at depth 200 are the repeated strings.
+bytes, and where symbol or interval changes, a common prefix ends. A suffix alone in its interval has its longest
+common prefix with the neighbours found and is left behind, with the suffixes before it. Suffixes with a common
+prefix of 200 bytes are the repeated strings.
 
-A hash with more segments than a task should hold is decided by counting 128-bit hashes of its 200-byte strings.
+Hot groups. Where the different segments of one hash are more than a task should hold, they are cut again by the
+smallest hash among their longer grams, 128 and 192 bytes and last of all the 200-byte string itself, whose group is
+a single string. So every group is merged in bounded memory, and by the same method.
 """
 
 from __future__ import annotations
@@ -22,38 +26,44 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelgap.llm import wordhash
-from reelgap.llm.near_dup import keyed
+from reelgap.llm import hotkeys, wordhash
 from reelgap.llm.scratch import Scratch, release_shuffles
 
 LENGTH, GRAM, SYMBOL = 200, 64, 8
-#: Bytes of segments that are merged together, bytes of a shard, and bytes of one hash's segments that a task takes.
-BATCH, SHARD, MOST = 1 << 20, 1 << 16, 6 << 20
+#: Bytes of segments that are merged together, bytes of a shard, and bytes of one hash's different segments that aren't cut again.
+BATCH, SHARD, MOST = 1 << 20, 1 << 16, 1 << 20
 
 
-def _sums(data: np.ndarray, letters: np.ndarray = wordhash.LETTERS) -> np.ndarray:
-    up, _ = wordhash._powers(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
+def _sums(letters: np.ndarray) -> np.ndarray:
+    up, _ = wordhash._powers(len(letters) + 1)
+    sums = np.empty(len(letters) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(letters[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(letters * up[: len(letters)], out=sums[1:])
     return sums
 
 
-def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first string, strings, hash, occurrences) of each segment.
+def _symbols(data: np.ndarray, n: int) -> np.ndarray:
+    """The eight bytes at each of the first ``n`` places as one number, in the bytes' order."""
+    return np.ndarray((n,), ">u8", data.data, strides=(1,)).astype(np.uint64)
+
+
+def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, level: int = 0) -> tuple[np.ndarray, ...]:
+    """(text, first string, strings, hash, occurrences, name) of each segment.
 
-    ``occurrences`` is 2 where the hash's gram comes twice inside the segment, which so may repeat within itself.
+    ``occurrences`` is 2 where the hash's gram comes twice inside the segment, which so may repeat within itself. With
+    grams as long as the strings, each string is a segment. Another ``level`` has other hashes.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none.view(np.uint64), none
+        return none, none, none, none.view(np.uint64), none, none.view(np.uint64)
     _, down = wordhash._powers(len(data) + 1)
-    sums = _sums(data)
-    grams = wordhash.mix((sums[gram:] - sums[:-gram]) * down[: len(sums) - gram])
+    sums = _sums(wordhash.LETTERS[data])
+    grams = wordhash.mix((sums[gram:] - sums[:-gram]) * down[: len(sums) - gram] + np.uint64(level))
     width = length - gram + 1
     least, span = grams, 1
     while 2 * span <= width:
@@ -66,6 +76,8 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tupl
     new = np.empty(len(least), bool)
     new[0] = True
     np.not_equal(least[1:], least[:-1], out=new[1:])
+    if gram == length:
+        new[:] = True
     new[begin] = True
     stop = np.zeros(len(least) + 1, bool)
     stop[end + 1] = True
@@ -81,20 +93,23 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tupl
     twice = np.ones(len(first), np.int64)
     many = last - first > width  # a gram is in at most ``width`` strings
     twice[many] = 2
-    for low in range(0, len(first), 4096):
+    for low in range(0, len(first) if width > 1 else 0, 4096):
         part = np.arange(low, min(low + 4096, len(first)))
         part = part[~many[part]]
         spot = first[part, None] + np.arange(2 * width - 1)[None, :]
         hit = (grams[np.minimum(spot, len(grams) - 1)] == hashes[part, None]) & (spot < (last[part] + width - 1)[:, None])
         twice[part[hit.sum(1) > 1]] = 2
-    return text, first - starts[text], last - first, hashes, twice
+    # a polynomial over mixed eight-byte symbols, unlike that of the grams over single bytes
+    sums = _sums(wordhash.mix(_symbols(data, len(data) - SYMBOL + 1))) if len(first) else sums
+    name = wordhash.mix((sums[last + length - SYMBOL] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+    return text, first - starts[text], last - first, hashes, twice, name
 
 
 class Shard:
     """Strings side by side with their sorted suffixes, the symbol before each suffix, and where that one starts."""
 
     def __init__(self, strings: list[bytes], weights: list[int], length: int) -> None:
-        self.data = np.frombuffer(b"".join(strings) + bytes(length), np.uint8)
+        self.data = np.frombuffer(b"".join(strings) + bytes(SYMBOL), np.uint8)
         sizes = np.array([len(s) for s in strings], np.int64)
         n = int(sizes.sum())
         starts = np.cumsum(sizes) - sizes
@@ -102,86 +117,95 @@ class Shard:
         self.left = np.repeat(starts + sizes, sizes) - np.arange(n)  # bytes to the end of the string
         self.offset = np.arange(n) - starts[self.string]
         self.weight = np.asarray(weights, np.int64)[self.string]
-        self.order = _sorted_suffixes(self.data, n, length)
+        #: The symbol at each place. The transform is, in sorted order, that before each suffix, with the rank of the suffix it starts (-1: none).
+        self.symbols = _symbols(self.data, n)
+        self.order = _sorted_suffixes(self.symbols, length)
         rank = np.empty(n, np.int64)
         rank[self.order] = np.arange(n)
         before = self.order - SYMBOL
         has = self.offset[self.order] >= SYMBOL
-        #: The symbol at each place. The transform is, in sorted order, that before each suffix, with the rank of the suffix it starts (-1: none).
-        self.symbols = _symbols(self.data, n)
         self.earlier = np.where(has, rank[np.where(has, before, 0)], -1) if n else np.zeros(0, np.int64)
 
 
-def _sorted_suffixes(data: np.ndarray, n: int, length: int) -> np.ndarray:
-    """Places by their next ``length`` bytes, ties by place: by the first 32 bytes, then those alike by all of them."""
+def _sorted_suffixes(symbols: np.ndarray, length: int) -> np.ndarray:
+    """Places by their next ``length`` bytes or more, by prefix doubling from their symbols on; those alike go on."""
+    order = np.argsort(symbols, kind="stable")
+    n, width = len(order), SYMBOL
     if not n:
-        return np.zeros(0, np.int64)
-    near = np.ndarray((n,), "S32", data.data, strides=(1,)) if length > 32 else None
-    if near is None:
-        return np.argsort(np.ascontiguousarray(np.ndarray((n,), f"S{length}", data.data, strides=(1,))), kind="stable")
-    near = np.ascontiguousarray(near)
-    order = np.argsort(near, kind="stable")
-    same = np.concatenate(([False], near[order[1:]] == near[order[:-1]], [False]))
-    tied = np.flatnonzero(same[1:] | same[:-1])
-    if len(tied):
-        places = np.sort(order[tied])
-        far = np.ndarray((n,), f"S{length}", data.data, strides=(1,))[places]
-        order[tied] = places[np.argsort(far, kind="stable")]
+        return order
+    head = np.concatenate(([True], symbols[order[1:]] != symbols[order[:-1]]))
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    while width < length:
+        tied = np.flatnonzero(~head | ~np.concatenate((head[1:], [True])))
+        if not len(tied):
+            break
+        places = order[tied]
+        key = rank[places] << 32 | rank[np.minimum(places + width, n)] + 1
+        by = np.argsort(key, kind="stable")
+        order[tied], key = places[by], key[by]
+        head[tied] = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[order[tied]] = np.maximum.accumulate(np.where(head[tied], tied, 0))
+        width *= 2
     return order
 
 
-def _symbols(data: np.ndarray, n: int) -> np.ndarray:
-    """The eight bytes at each place as one number."""
-    out = np.zeros(n, np.uint64)
-    for k in range(SYMBOL):
-        out = out << np.uint64(8) | data[k : k + n]
-    return out
-
+def merged_prefixes(shards: list[Shard], length: int = LENGTH) -> list[np.ndarray]:
+    """For each shard, the common prefix in bytes that each suffix, in sorted order, has with another suffix of any shard.
 
-def merged_intervals(shards: list[Shard], length: int = LENGTH) -> list[np.ndarray]:
-    """For each shard, the places of its data whose next ``length`` bytes are a repeated string.
-
-    An interval of one suffix has no other to share a longer prefix with, nor have the suffixes before it, so it is
-    left behind. It stands for all copies of its segment: where there are two, each of its strings is repeated.
-    ``length`` is a multiple of the symbol's size.
+    It is counted in whole symbols from ``length`` down; ``length`` itself means that or more. A suffix alone in its
+    interval has no other to share a longer prefix with, nor have the suffixes before it, so it is left behind.
     """
     offsets = np.cumsum([0] + [len(s.order) for s in shards])
+    start = length % SYMBOL or SYMBOL
     _, dense = np.unique(np.concatenate([s.symbols for s in shards]), return_inverse=True)  # symbols in order, as small numbers
     dense = np.split(dense, offsets[1:-1])
     symbols = np.concatenate([np.where(s.earlier >= 0, d[np.maximum(s.order - SYMBOL, 0)], -1) for s, d in zip(shards, dense, strict=True)])
     earlier = np.concatenate([np.where(s.earlier >= 0, s.earlier + o, -1) for s, o in zip(shards, offsets[:-1], strict=True)])
     left = np.concatenate([s.left[s.order] for s in shards])
-    first = np.concatenate([d[s.order] for s, d in zip(shards, dense, strict=True)])
-    # depth 8: the suffixes in buckets of their first symbol
-    suffix = np.flatnonzero(left >= SYMBOL)
+    first = np.concatenate([s.symbols[s.order] >> np.uint64(8 * (SYMBOL - start)) for s in shards])
+    if start < SYMBOL:
+        first = np.unique(first, return_inverse=True)[1]
+    else:
+        first = np.concatenate([d[s.order] for s, d in zip(shards, dense, strict=True)])
+    common = np.zeros(offsets[-1], np.int64)
+    # the suffixes in buckets of their first symbol
+    suffix = np.flatnonzero(left >= start)
     suffix, interval = _place(suffix, first[suffix], np.zeros(len(suffix), np.int64))
-    for _ in range(length // SYMBOL - 1):
+    common[suffix] = start
+    for depth in range(start + SYMBOL, length + 1, SYMBOL):
         has = earlier[suffix] >= 0
         suffix, interval = suffix[has], interval[has]
         suffix, interval = _place(earlier[suffix], symbols[suffix], interval)
-    out = []
-    for s, low, high in zip(shards, offsets[:-1], offsets[1:], strict=True):
-        found = (s.weight > 1) & (s.left >= length)
-        found[s.order[suffix[(suffix >= low) & (suffix < high)] - low]] = True
-        out.append(np.flatnonzero(found))
-    return out
+        common[suffix] = depth
+    return np.split(common, offsets[1:-1])
 
 
 def _place(suffix: np.ndarray, symbols: np.ndarray, interval: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes dropped into the buckets of their symbols in the order given; intervals of one are left out."""
     if not len(suffix):
         return suffix, interval
-    buckets = np.sort(symbols << 32 | np.arange(len(suffix)))  # by symbol, then as they come
-    order, symbols = buckets & 0xFFFFFFFF, buckets >> 32
-    suffix, interval = suffix[order], interval[order]
+    order = _buckets(symbols)
+    suffix, symbols, interval = suffix[order], symbols[order], interval[order]
     new = np.ones(len(suffix) + 1, bool)
     new[1:-1] = (symbols[1:] != symbols[:-1]) | (interval[1:] != interval[:-1])
     keep = ~(new[:-1] & new[1:])
     return suffix[keep], np.cumsum(new[:-1])[keep]
 
 
+def _buckets(symbols: np.ndarray) -> np.ndarray:
+    """The order of ``symbols`` by bucket, then as they come: a stable pass over each 16 bits, without comparisons."""
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
+    high = symbols >> 16
+    return order[np.argsort(high[order].astype(np.uint16), kind="stable")] if high.any() else order
+
+
 def repeated(strings: list[bytes], weights: list[int], length: int = LENGTH) -> list[list[tuple[int, int]]]:
-    """For each string, the ranges [from, to) of places where a repeated ``length``-byte string starts."""
+    """For each string, the ranges [from, to) of places where a repeated ``length``-byte string starts.
+
+    It stands for all its copies by weight: where there are two, each of its strings is repeated.
+    """
     shards, members, held, n = [], [], [], 0
     for i, s in enumerate(strings):
         held.append(i)
@@ -191,8 +215,10 @@ def repeated(strings: list[bytes], weights: list[int], length: int = LENGTH) ->
             members.append(held)
             held, n = [], 0
     out: list[list[tuple[int, int]]] = [[] for _ in strings]
-    for shard, own, places in zip(shards, members, merged_intervals(shards, length) if shards else (), strict=True):
-        if len(places):
+    for shard, own, common in zip(shards, members, merged_prefixes(shards, length) if shards else (), strict=True):
+        found = (shard.weight > 1) & (shard.left >= length)
+        found[shard.order[common >= length]] = True
+        if len(places := np.flatnonzero(found)):
             string, offset = shard.string[places], shard.offset[places]
             cut = np.flatnonzero(np.concatenate(([True], (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1))))
             for a, b in zip(cut.tolist(), [*(cut[1:] - 1).tolist(), len(places) - 1], strict=True):
@@ -206,151 +232,117 @@ def _columns(rows: list[tuple], kinds: list, names: list[str]):
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
-def found_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(key, at, n, hash, twice) of every segment."""
+FOUND = ("id", "weight", "at", "span", "hash", "twice", "name")
+
+
+def _found(strings: DataFrame, length: int, gram: int, level: int) -> DataFrame:
+    """A row of FOUND for every segment of ``strings`` (id, weight, data)."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for chunk in wordhash.chunks(zip(batch.column(0).to_pylist(), ((t.as_py() or "").encode() for t in batch.column(1)), strict=True)):
-                text, at, n, hashes, twice = segments([t for _, t in chunk], length, gram)
-                keys = np.array([k for k, _ in chunk], np.int64)[text] if len(text) else text
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(at), pa.array(n), pa.array(hashes.view(np.int64)), pa.array(twice)], names=["key", "at", "n", "hash", "twice"])
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), (d.as_py() for d in batch.column(2)), strict=True)
+            for chunk in wordhash.chunks(rows):
+                text, at, n, hashes, twice, names = segments([d for *_, d in chunk], length, gram, level)
+                ids, weights = (np.array([c[i] for c in chunk], np.int64)[text] for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, weights, at, n, hashes.view(np.int64), twice, names.view(np.int64))], names=list(FOUND))
 
-    return keyed(docs).select("key", "text").mapInArrow(run, "key long, at long, n long, hash long, twice long")
+    return strings.select("id", "weight", "data").mapInArrow(run, ", ".join(f"{c} long" for c in FOUND))
 
 
-def _named(texts: DataFrame, length: int, with_content: bool) -> DataFrame:
-    """Segments of (text, segments) rows, named by their bytes.
-
-    With content: (hash, name, weight, content), where a task gives a segment's bytes once and further copies as weight
-    only. Without: (hash, name, key, at).
-    """
+def _contents(strings: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(hash, name, weight, content) of ``wanted`` (id, at, span, hash, name, weight), from the strings that have them."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        long, seen = pa.int64(), {}
+        kinds, names = [pa.int64()] * 3 + [pa.binary()], ["hash", "name", "weight", "content"]
         for batch in batches:
-            out = []
-            for key, text, own in zip(*(batch.column(i) for i in range(3)), strict=True):
-                key, data = key.as_py(), text.as_py().encode()
+            out, size = [], 0
+            for data, own in zip(batch.column(0), batch.column(1), strict=True):
+                data = data.as_py()
                 for s in own.as_py():
-                    content = data[s["at"] : s["at"] + s["n"] + length - 1]
-                    name = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
-                    if not with_content:
-                        out.append((s["hash"], name, key, s["at"]))
-                    elif (s["hash"], name) in seen:
-                        seen[s["hash"], name] += 1
-                    else:
-                        if len(seen) >= 100_000:
-                            yield _columns([(*k, n, None) for k, n in seen.items() if n], [long, long, long, pa.binary()], ["hash", "name", "weight", "content"])
-                            seen.clear()
-                        seen[s["hash"], name] = 0
-                        out.append((s["hash"], name, 1, content))
-                if len(out) >= 4000:
-                    yield _columns(out, [long, long, long, pa.binary() if with_content else long], ["hash", "name", *(("weight", "content") if with_content else ("key", "at"))])
-                    out = []
-            yield _columns(out, [long, long, long, pa.binary() if with_content else long], ["hash", "name", *(("weight", "content") if with_content else ("key", "at"))])
-        if with_content:
-            yield _columns([(*k, n, None) for k, n in seen.items() if n], [long, long, long, pa.binary()], ["hash", "name", "weight", "content"])
-
-    return texts.select("key", "text", "segments").mapInArrow(run, "hash long, name long, weight long, content binary" if with_content else "hash long, name long, key long, at long")
-
-
-def _merge(batches: Iterator, length: int, batch_bytes: int, most: int) -> Iterator:
-    """(hash, name, low, high, weight, content) from rows sorted by hash and name.
-
-    ``low`` to ``high`` are places in the segment where a repeated string starts. A hash with more than ``most`` bytes
-    of different segments gives them back, with null ``low``.
-    """
+                    out.append((s["hash"], s["name"], s["weight"], data[s["at"] : s["at"] + s["span"] + length - 1]))
+                    size += len(out[-1][3])
+                if size >= wordhash.CHUNK:
+                    yield _columns(out, kinds, names)
+                    out, size = [], 0
+            yield _columns(out, kinds, names)
+
+    own = wanted.groupBy("id").agg(F.collect_list(F.struct("at", "span", "hash", "name", "weight")).alias("own"))
+    return strings.select("id", "data").join(own, "id").select("data", "own").mapInArrow(run, "hash long, name long, weight long, content binary")
+
+
+def _merge(batches: Iterator, length: int, batch_bytes: int) -> Iterator:
+    """(hash, name, n, ranges) from (hash, name, weight, content) sorted by hash: ``n`` is the weight, ``ranges`` has the places in the segment where a repeated string starts."""
     import pyarrow as pa
 
-    kinds, names = [pa.int64()] * 5 + [pa.binary()], ["hash", "name", "low", "high", "weight", "content"]
-    ready: list[list] = []
-    size = 0
+    place = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
+    kinds, names = [pa.int64()] * 3 + [place], ["hash", "name", "n", "ranges"]
+    ready: list[tuple] = []
+    size, last = 0, None
 
     def flush():
-        rows = []
-        for (h, name, _, _), ranges in zip(ready, repeated([r[3] for r in ready], [r[2] for r in ready], length), strict=True):
-            rows += [(h, name, low, high, None, None) for low, high in ranges]
+        found = zip(ready, repeated([r[3] for r in ready], [r[2] for r in ready], length), strict=True)
+        out = [(h, name, weight, [{"low": a, "high": b} for a, b in ranges]) for (h, name, weight, _), ranges in found if ranges]
         ready.clear()
-        return _columns(rows, kinds, names)
+        return _columns(out, kinds, names)
 
-    group: list[list] = []
-    held, large = 0, False
     for batch in batches:
-        back = []
-        for h, name, weight, content in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if group and group[-1][0] != h:
-                if large:
-                    back += group
-                else:
-                    ready += group
-                    size += held
-                group, held, large = [], 0, False
-                if size >= batch_bytes:
-                    yield flush()
-                    size = 0
-            if group and group[-1][1] == name:
-                group[-1][2] += weight
-                group[-1][3] = group[-1][3] if content is None else content
-            else:
-                if large:
-                    back += group
-                    group = []
-                group.append([h, name, weight, content])
-            held += len(content or b"")
-            large = large or held > most
-        if back:
-            yield _columns([(h, name, None, None, weight, content) for h, name, weight, content in back], kinds, names)
-    if large:
-        yield _columns([(h, name, None, None, weight, content) for h, name, weight, content in group], kinds, names)
-    else:
-        ready += group
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if size >= batch_bytes and row[0] != last:
+                yield flush()
+                size = 0
+            ready.append(row)
+            size, last = size + len(row[3]), row[0]
     yield flush()
 
 
-def _counted(large: DataFrame, length: int) -> DataFrame:
-    """(hash, name, low, high) of repeated strings in (hash, name, weight, content), by counting their 128-bit hashes."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        other = wordhash.LETTERS[::-1].copy()
-        for batch in batches:
-            for h, name, weight, content in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                data = np.frombuffer(content, np.uint8)
-                _, down = wordhash._powers(len(data) + 1)
-                n = len(data) - length + 1
-                both = [wordhash.mix((s[length:] - s[:-length]) * down[:n]).view(np.int64) for s in (_sums(data), _sums(data, other))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, v, np.int64)) for v in (h, name, weight)] + [pa.array(np.arange(n)), *map(pa.array, both)], names=["hash", "name", "weight", "low", "one", "two"])
-
-    strings = large.select("hash", "name", "weight", "content").mapInArrow(run, "hash long, name long, weight long, low long, one long, two long")
-    again = strings.groupBy("one", "two").agg(F.sum("weight").alias("n")).where("n > 1")
-    return strings.join(again, ["one", "two"], "left_semi").select("hash", "name", "low", (F.col("low") + 1).alias("high"))
-
-
-def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH, most: int = MOST) -> tuple[DataFrame, DataFrame]:
-    """(texts, ranges): the rows (key, text) that may hold a repeat, and for each key the sorted places [low, high) where one starts."""
-    spark = docs.sparkSession
-    found = scratch.keep(found_segments(docs, length, gram), "segments")
-    again = found.groupBy("hash").agg(F.sum("twice").alias("n")).where("n > 1").select("hash")
-    live = found.join(again, "hash").groupBy("key").agg(F.collect_set(F.struct("at", "n", "hash")).alias("segments"))
-    texts = scratch.keep(keyed(docs).where(F.octet_length("text") >= length).select("key", "text").join(live, "key"), "texts")
-    scratch.drop("segments")
+def repeats(strings: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH, most: int = MOST, level: int = 0) -> DataFrame:
+    """(id, low, high): places [low, high) of ``strings`` (id, weight, data) where a repeated string starts."""
+    spark, name = strings.sparkSession, lambda x: f"{x}{level}"
+    width = min((level + 1) * gram, length) if (level + 1) * gram < length and level < 3 else length
+    found = scratch.keep(_found(strings, length, width, level), name("segments"))
+    again = scratch.keep(found.groupBy("hash").agg(F.sum(F.col("weight") * F.col("twice")).alias("n")).where("n > 1"), name("again"))
+    total = again.agg(F.sum("n")).first()[0] or 0
+    live = scratch.keep(hotkeys.joined(found, again, ["hash"], total).drop("n"), name("live"))
+    scratch.drop(name("segments"), name("again"))
     release_shuffles(spark)
-    strings = _named(texts, length, with_content=True).repartition("hash").sortWithinPartitions("hash", "name")
-    merged = scratch.keep(strings.mapInArrow(lambda b: _merge(b, length, batch_bytes, most), "hash long, name long, low long, high long, weight long, content binary"), "merged")
+    one = live.groupBy("hash", "name").agg(F.sum("weight").alias("weight"), F.max("span").alias("span"), F.min(F.struct("id", "at")).alias("one"))
+    one = scratch.keep(one.select("hash", "name", "weight", "span", "one.id", "one.at"), name("one"))
+    groups = one.groupBy("hash").agg(F.sum(F.col("span") + length - 1).alias("bytes"), F.count(F.lit(1)).alias("many"))
+    large = scratch.keep(groups.where((F.col("bytes") > most) & F.lit(width < length)).select("hash", F.col("many").alias("n")), name("large"))
+    hot = not large.isEmpty()
+    small = one.join(large.select("hash"), "hash", "left_anti") if hot else one
+    contents = _contents(strings, small, length).repartition("hash").sortWithinPartitions("hash", "name")
+    flagged = scratch.keep(contents.mapInArrow(lambda b: _merge(b, length, batch_bytes), "hash long, name long, n long, ranges array<struct<low: long, high: long>>"), name("flagged"))
     release_shuffles(spark)
-    flagged, large = merged.where("low is not null").select("hash", "name", "low", "high"), merged.where("low is null")
-    if not large.isEmpty():
-        large = large.groupBy("hash", "name").agg(F.sum("weight").alias("weight"), F.max("content").alias("content"))
-        flagged = flagged.unionByName(_counted(large, length))
-    at = _named(texts, length, with_content=False).join(flagged, ["hash", "name"])
-    ranges = at.groupBy("key").agg(F.array_sort(F.collect_set(F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")))).alias("ranges"))
-    return texts, ranges
+    if hot:  # the different segments of a large group are strings to be cut by longer grams
+        wanted = hotkeys.joined(one, large, ["hash"], large.agg(F.sum("n")).first()[0]).drop("n")
+        cut = _contents(strings, wanted, length).select(F.monotonically_increasing_id().alias("id"), "hash", "name", "weight", F.col("content").alias("data"))
+        cut = scratch.keep(cut, name("cut"))
+        deeper = repeats(cut, scratch, length, gram, batch_bytes, most, level + 1).groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        flagged = flagged.unionByName(cut.select("id", "hash", "name", F.col("weight").alias("n")).join(deeper, "id").drop("id"))
+    at = hotkeys.joined(live.select("hash", "name", "id", "at"), flagged, ["hash", "name"], total)
+    at = at.select("id", "at", F.explode("ranges").alias("r"))
+    return scratch.keep(at.select("id", (F.col("at") + F.col("r.low")).alias("low"), (F.col("at") + F.col("r.high")).alias("high")), name("places"))
+
+
+def _spans(docs: DataFrame, scratch: Scratch, length: int, **sizes: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, ranges): ``docs`` with a number for each row (_id) and its text's bytes (_data), and for each number the sorted places where a repeated string starts.
+
+    The numbers are written with the rows, so a lost executor doesn't change them.
+    """
+    rows = scratch.keep(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct("*").alias("_row")), "rows")
+    rows = rows.withColumn("_data", F.coalesce(F.col("_row.text").cast("string"), F.lit("")).cast("binary"))
+    strings = rows.where(F.octet_length("_data") >= length).select(F.col("_id").alias("id"), F.lit(1).cast("long").alias("weight"), F.col("_data").alias("data"))
+    places = repeats(strings, scratch, length, **sizes)
+    ranges = places.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("_ranges")).withColumnRenamed("id", "_id")
+    ranges = scratch.keep(ranges, "ranges")
+    scratch.drop(*[f"{t}{k}" for t in ("live", "one", "large", "flagged", "cut", "places", "segments", "again") for k in range(5)])
+    release_shuffles(docs.sparkSession)
+    return rows, ranges
 
 
 def removed_spans(ranges: list[dict], length: int) -> list[tuple[int, int]]:
@@ -374,57 +366,51 @@ def digests(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of ``docs`` (doc_id, text).
 
     Every byte goes that lies in a ``length``-byte string which also starts elsewhere, in the same row or another;
-    overlaps count, and strings are judged on the input. A null text is empty; texts under ``length`` bytes keep all;
-    a row that repeats another one loses all its bytes like it; a null doc_id stays null; an empty table gives no
-    rows; other columns are not read.
+    overlaps count, and strings are judged on the input. A null text is empty; texts under ``length`` bytes keep all; a
+    text of any length is cut into segments as a whole; a row that repeats another one loses all its bytes like it; a
+    null doc_id stays null; an empty table gives no rows; other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "suffix_dedup")
-    texts, ranges = repeats(docs, scratch, length, **sizes)
+    rows, ranges = _spans(docs.select("doc_id", "text"), scratch, length, **sizes)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            rows = []
-            for key, text, own in zip(*(batch.column(i) for i in range(3)), strict=True):
+            out = []
+            for i, data, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 spans = removed_spans(own.as_py(), length)
-                rows.append((key.as_py(), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept_bytes(text.as_py().encode(), spans)).hexdigest()))
-            yield _columns(rows, [pa.int64(), pa.int64(), pa.int64(), pa.string()], ["key", "n_removed", "n_spans", "sha"])
+                out.append((i, sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept_bytes(data.as_py(), spans)).hexdigest()))
+            yield _columns(out, [pa.int64(), pa.int64(), pa.int64(), pa.string()], ["_id", "n_removed", "n_spans", "sha"])
 
-    cut = texts.select("key", "text").dropDuplicates(["key"]).join(ranges, "key").select("key", "text", "ranges").mapInArrow(run, "key long, n_removed long, n_spans long, sha string")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = keyed(docs).select("doc_id", "key", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
-    out = rows.join(cut, "key", "left")
+    cut = rows.select("_id", "_data").join(ranges, "_id").select("_id", "_data", "_ranges").mapInArrow(run, "_id long, n_removed long, n_spans long, sha string")
+    every = rows.select("_id", F.col("_row.doc_id").cast("long").alias("doc_id"), F.octet_length("_data").cast("long").alias("n_bytes"), F.sha2("_data", 256).alias("whole"))
     zero = F.lit(0).cast("long")
-    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+    return every.join(cut, "_id", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
 
 
 def keep_unrepeated(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """``docs`` with the bytes that ``digests`` removes cut out of ``text`` (and ``n_chars``, if there, counted anew).
 
     A character that loses some of its bytes loses all. A row left without words goes; all other rows and columns
-    stay.
+    stay, nulls, empty and repeated ones included.
     """
     scratch = Scratch(docs.sparkSession, "suffix_dedup")
-    _, ranges = repeats(docs, scratch, length, **sizes)
+    rows, ranges = _spans(docs, scratch, length, **sizes)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             now = []
-            for text, own in zip(batch.column("_text"), batch.column("_ranges"), strict=True):
+            for data, own in zip(batch.column("_data"), batch.column("_ranges"), strict=True):
                 own = own.as_py()
-                now.append(None if own is None else kept_bytes(text.as_py().encode(), removed_spans(own, length)).decode(errors="ignore"))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_text"), pa.array(now, pa.string())], names=["_row", "_text", "_now"])
+                now.append(None if own is None else kept_bytes(data.as_py(), removed_spans(own, length)).decode(errors="ignore"))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(now, pa.string())], names=["_row", "_now"])
 
-    text = F.col("text").cast("string")
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"), text.alias("_text"))
-    rows = rows.join(ranges.withColumnRenamed("ranges", "_ranges"), "key", "left").select("_row", "_text", "_ranges")
+    rows = rows.join(ranges, "_id", "left").select("_row", F.when(F.col("_ranges").isNotNull(), F.col("_data")).alias("_data"), "_ranges")
     row = rows.schema["_row"].dataType
-    from pyspark.sql import types as T
-
-    rows = rows.mapInArrow(run, T.StructType([T.StructField("_row", row), T.StructField("_text", T.StringType()), T.StructField("_now", T.StringType())]))
+    rows = rows.mapInArrow(run, T.StructType([T.StructField("_row", row), T.StructField("_now", T.StringType())]))
     rows = rows.where(F.col("_now").isNull() | F.col("_now").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.coalesce("_now", "_row.text")}
     if "n_chars" in docs.columns:

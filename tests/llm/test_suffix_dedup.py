@@ -39,7 +39,7 @@ def test_merged_intervals_equal_counting(monkeypatch, shard):
     monkeypatch.setattr(sd, "SHARD", shard)
     rng = random.Random(shard)
     for _ in range(150):
-        length = rng.choice([8, 16, 40])
+        length = rng.choice([8, 12, 16, 20, 40, 41])
         texts = ["".join(rng.choice(rng.choice(["ab", "abcdef"])) for _ in range(rng.randint(0, 120))).encode() for _ in range(rng.randint(1, 7))]
         texts += [texts[0][2:] + b"!" + texts[-1], b"ab\0\0" * 20]
         weights = [rng.choice([1, 1, 3]) for _ in texts]
@@ -54,7 +54,7 @@ def test_merged_intervals_equal_counting(monkeypatch, shard):
 def test_segments_keep_equal_strings_together():
     for seed in range(8):
         texts = [(t or "").encode() for t in sample(seed, 20, 24)]
-        text, at, n, hashes, twice = sd.segments(texts, 24, 8)
+        text, at, n, hashes, twice, _ = sd.segments(texts, 24, 8)
         owner, weight, places = {}, Counter(), set()
         for t, a, k, h, w in zip(text.tolist(), at.tolist(), n.tolist(), hashes.tolist(), twice.tolist(), strict=True):
             weight[h] += w
@@ -67,7 +67,7 @@ def test_segments_keep_equal_strings_together():
         assert all(weight[owner[s]] > 1 for s, k in seen.items() if k > 1)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"most": 300}, {"batch_bytes": 100, "most": 2000}])
+@pytest.mark.parametrize("sizes", [{}, {"most": 300}, {"most": 41}, {"batch_bytes": 100, "most": 2000}])
 def test_digests_equal_brute_force(spark, sizes):
     texts = sample(1, 60, 40)
     rows = list(enumerate(texts)) + [(None, texts[4] + "z"), (7, texts[7])]
