@@ -4,31 +4,37 @@ Documents with equal shingle sets are one class; the join is between classes. A
 hashes. Every tree sends a class down the branches of coordinates that the node itself chooses, on average one over
 the threshold, so a pair at the threshold keeps one common path in expectation; nodes with few classes are compared
 exhaustively on their sketches, larger ones branch again, and independent trees make a miss as unlikely as wanted.
-What a node hands on is a spanning forest of its similar pairs. Classes that these forests connect are then brought
-together with their whole texts, and every pair of two different components that may be similar is confirmed on the
-full sets. Groups too large for one task are confirmed node by node instead.
+What a node hands on is a spanning forest of its similar pairs. Classes that these forests connect and that share a
+node are then brought together with their whole texts, and every pair of two different components that may be similar
+is confirmed on the full sets.
+
+A large node that branching no longer divides, as a large group of near copies, is compared in blocks: first every
+class with a fixed number of representatives, then what these did not join to the node's largest component with
+every class. That finds all links between the components of the node, in bounded tasks whose number grows with the
+node, unless it really falls into large parts.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelgap.llm import wordhash
+from reelgap.llm import hotkeys, wordhash
 from reelgap.llm.components import components
 from reelgap.llm.scratch import Scratch, release_shuffles
 
-COORDINATES, TREES = 128, 12
-#: Nodes of at most so many classes are compared exhaustively; branching ends at this depth in any case.
-SMALL, DEPTH = 5000, 14
+COORDINATES, TREES = 128, 16
+#: Nodes of at most so many classes are compared exhaustively, as are blocks of that size; a larger node that keeps more than this share of the node above it is compared in blocks.
+SMALL, DENSE = 1500, 0.7
 #: Sketches that agree in fewer coordinates than the threshold less this many standard deviations are not compared further.
 DEVIATIONS = 5
-#: Shingles that one task confirms together at most.
-GROUP = 3_000_000
+#: Shingles that a task confirms together, about; a group with more is confirmed in pairs of blocks.
+GROUP = 2_000_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(77))
 _MULTIPLY = (_RANDOM.integers(0, 1 << 31, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
@@ -156,98 +162,172 @@ def _edge_batch(edges: list[tuple]):
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, key, n, class_id, signature) of each row; no class and signature for an empty set."""
+    """(doc_id, key, n, set_id, signature, sketch) of each row; no set_id, signature and sketch for an empty set."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        kinds, names = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], ["doc_id", "key", "n", "set_id", "signature", "sketch"]
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ((t.as_py() or "").encode() for t in batch.column(2)), strict=True)
             for chunk in wordhash.chunks(rows):
                 sets = list(shingle_sets([t for *_, t in chunk], width))
                 full = [s for s in sets if len(s)]
                 signatures = iter(minwise(full) if full else ())
-                classes = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
-                own = [next(signatures).tobytes() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c[0] for c in chunk], pa.int64()), pa.array([c[1] for c in chunk], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.array(own, pa.binary())],
-                    names=["doc_id", "key", "n", "class_id", "signature"],
-                )
+                own = [next(signatures) if len(s) else None for s in sets]
+                ids = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                columns = [c[0] for c in chunk], [c[1] for c in chunk], [len(s) for s in sets], ids, [x if x is None else x.tobytes() for x in own], [x if x is None else x.astype(np.uint8).tobytes() for x in own]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return keyed(docs).mapInArrow(run, "doc_id long, key long, n long, class_id long, signature binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, key binary, n long, set_id binary, signature binary, sketch binary")
+
+
+def _key() -> Column:
+    """128 bits of doc_id and text: rows that repeat both are alike."""
+    doc_id, text = F.col("doc_id").cast("long").cast("string"), F.col("text").cast("string")
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id, F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of doc_id and text: rows that repeat both are alike), text."""
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("key"), text.alias("text"))
+    """doc_id, key, text."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("key"), F.col("text").cast("string").alias("text"))
 
 
-def similar_nodes(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(node, class_id) of the small nodes of all trees that have more than one class."""
+def similar_nodes(classes: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(node, class_id, n) of the small nodes of all trees that have more than one class, and of dense ones; n is the node's size."""
 
     def branch(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            signatures = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-            for tree in range(TREES) if batch.num_columns == 2 else (None,):
-                nodes = np.full(len(ids), wordhash.mix(np.array([tree + 1], np.uint64))[0]) if tree is not None else batch.column(2).to_numpy().view(np.uint64)
+            if not len(ids):
+                continue
+            signatures, above = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES), batch.column(2).to_numpy()
+            for tree in range(TREES) if batch.num_columns == 3 else (None,):
+                nodes = np.full(len(ids), wordhash.mix(np.array([tree + 1], np.uint64))[0]) if tree is not None else batch.column(3).to_numpy().view(np.uint64)
                 rows, child = children(nodes, signatures, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[rows])], names=["node", "class_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[rows]), pa.array(above[rows])], names=["node", "class_id", "above"])
 
-    found, rows = [], classes.select("class_id", "signature")
-    for depth in range(1, DEPTH + 1):
-        level = rows.mapInArrow(branch, "node long, class_id long")
+    small, dense, rows = [], [], classes.select("class_id", "signature", F.lit(classes.count()).cast("long").alias("above"))
+    for depth in count(1):
+        level = scratch.keep(rows.mapInArrow(branch, "node long, class_id long, above long"), f"branched{depth}")
         sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        level = scratch.keep(level.join(sizes, "node").select("node", "class_id", "n"), f"level{depth}")
-        found.append(level.where((F.col("n") <= SMALL) | F.lit(depth == DEPTH)).select("node", "class_id"))
-        large = level.where(F.col("n") > SMALL).select("class_id", "node")
+        kept = scratch.keep(hotkeys.joined(level, sizes, ["node"], level.count()), f"level{depth}")
+        scratch.drop(f"branched{depth}")
+        small.append(kept.where(F.col("n") <= SMALL).select("node", "class_id", "n"))
+        large = kept.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
-        rows = classes.select("class_id", "signature").join(large, "class_id").select("class_id", "signature", "node")
-    out = found[0]
-    for more in found[1:]:
+        whole = F.col("n") > DENSE * F.col("above")
+        dense.append(large.where(whole).select("node", "class_id", "n"))
+        rows = classes.select("class_id", "signature").join(large.where(~whole).select("class_id", F.col("n").alias("above"), "node"), "class_id").select("class_id", "signature", "above", "node")
+    none = small[0].where(F.lit(False))
+    return _union(small), _union([none, *dense])
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
         out = out.unionByName(more)
     return out
 
 
-def links(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(rows, roots): what ``signed`` gives without the signature, and (class_id, root) of classes linked with others."""
-    rows = scratch.keep(signed(docs, width), "rows")
-    classes = rows.where("class_id is not null").groupBy("class_id").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.first("signature").alias("signature"))
-    classes = scratch.keep(classes, "classes")
-    nodes = similar_nodes(classes, percent, scratch)
+def _block(n: Column) -> Column:
+    """The block of a class in its node, of ``n`` blocks."""
+    return F.pmod(F.xxhash64("node", "class_id"), n)
+
+
+def with_representatives(dense: DataFrame) -> DataFrame:
+    """(node, class_id) of blocks of dense nodes, each with the node's first block beside it."""
+    blocks = F.ceil(F.col("n") / SMALL)
+    rows = dense.select("node", "class_id", blocks.alias("blocks"), _block(blocks).alias("block"))
+    rows = rows.select("node", "class_id", F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(1).cast("long"), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("block"))).alias("to"))
+    return rows.select(F.xxhash64("node", "to", F.lit("first")).alias("node"), "class_id")
+
+
+def with_the_rest(dense: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, class_id) of blocks of dense nodes, each with a block of what isn't in the node's largest component beside it."""
+    labelled = dense.join(roots.withColumnRenamed("v", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    labelled = scratch.keep(labelled, "labelled")
+    parts = labelled.groupBy("node", "root").agg(F.count(F.lit(1)).alias("m"))
+    largest = parts.groupBy("node").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("n"))
+    largest = largest.select("node", "n", F.col("top.root").alias("largest"), F.ceil((F.col("n") - F.col("top.m")) / SMALL).alias("rests")).where("rests > 0")
+    rows = hotkeys.joined(labelled.select("node", "class_id", "root"), largest, ["node"], labelled.count())
+    blocks = F.ceil(F.col("n") / SMALL)
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    every = rows.select("node", "class_id", _block(blocks).alias("block"), F.explode(upto(F.col("rests"))).alias("rest"))
+    rest = rows.where("root <> largest").select("node", "class_id", F.explode(upto(blocks)).alias("block"), _block(F.col("rests")).alias("rest"))
+    return every.unionByName(rest).select(F.xxhash64("node", "block", "rest", F.lit("rest")).alias("node"), "class_id").distinct()
+
+
+def _confirmed_links(nodes: DataFrame, classes: DataFrame, docs: DataFrame, rows: DataFrame, width: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b): links between the classes of each node (node, class_id), enough to join what belongs together."""
     least = least_agreement(percent)
 
     def connect(batches: Iterator) -> Iterator:
         for _, own in _groups(batches, 3):
-            sketches = np.stack([np.frombuffer(s, np.uint32) for *_, s in own]).astype(np.uint8)
+            sketches = np.frombuffer(b"".join(s for *_, s in own), np.uint8).reshape(len(own), -1)
             if edges := forest(sketches, least):
                 yield _edge_batch([(own[a][1], own[b][1]) for a, b in edges])
 
-    sketched = nodes.join(classes.select("class_id", "signature"), "class_id").select("node", "class_id", "signature")
-    near = scratch.keep(sketched.repartition("node").sortWithinPartitions("node", "class_id").mapInArrow(connect, "a long, b long").distinct(), "near")
-    clusters = components(near, scratch, "clusters").withColumnRenamed("v", "class_id")
-    members = scratch.keep(clusters.join(classes.select("class_id", "key", "n"), "class_id"), "members")
-    total = members.groupBy("root").agg(F.sum("n").alias("total"))
-    members = members.join(total, "root")
-    # a group that is too large for one task is confirmed in each of its nodes
-    of_nodes = members.where(F.col("total") > GROUP).join(nodes, "class_id").select("key", "class_id", F.col("node").alias("group"))
-    grouped = members.where(F.col("total") <= GROUP).select("key", "class_id", F.col("root").alias("group")).unionByName(of_nodes)
-    texts = keyed(docs).select("key", "text").join(grouped, "key").select("group", "class_id", "text")
+    sketched = nodes.join(classes.select("class_id", "sketch"), "class_id").select("node", "class_id", "sketch")
+    near = scratch.keep(sketched.repartition("node").sortWithinPartitions("node", "class_id").mapInArrow(connect, "a long, b long").distinct(), f"near{name}")
+    clusters = components(near, scratch, f"clusters{name}").withColumnRenamed("v", "class_id")
+    # the members of a cluster in a node are a group; nodes with the same members need one of them only
+    members = scratch.keep(nodes.join(clusters, "class_id").join(classes.select("class_id", "key", "n"), "class_id"), f"members{name}")
+    groups = members.groupBy("node", "root").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("class_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "class_id")).alias("y")).where("many > 1")
+    groups = groups.groupBy("root", "many", "total", "x", "y").agg(F.min("node").alias("node"))
+    groups = groups.select("node", "root", F.least(F.col("many"), F.ceil(F.col("total") / F.lit(GROUP / 2))).alias("blocks"))
+    own = F.pmod(F.xxhash64("class_id", "node"), F.col("blocks"))
+    grouped = members.join(groups, ["node", "root"]).select("key", "class_id", "node", "root", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    grouped = grouped.select("key", "class_id", F.xxhash64("node", "root", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
+    grouped = scratch.keep(grouped, f"grouped{name}")
+    copies = grouped.select("key").distinct().join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
+    texts = hotkeys.joined(keyed(docs).select("key", "text"), scratch.keep(copies, f"copies{name}"), ["key"], rows.count()).dropDuplicates(["key"]).select("key", "text")
+    texts = texts.join(grouped, "key").select("group", "class_id", "text")
 
     def confirm(batches: Iterator) -> Iterator:
         for _, own in _groups(batches, 3):
-            own = list({c: (c, t) for _, c, t in own}.values())
-            sets = [s for chunk in wordhash.chunks((c, t.encode()) for c, t in own) for s in shingle_sets([t for _, t in chunk], width)]
+            sets = [s for chunk in wordhash.chunks((c, t.encode()) for _, c, t in own) for s in shingle_sets([t for _, t in chunk], width)]
             if edges := confirmed(sets, percent):
-                yield _edge_batch([(own[a][0], own[b][0]) for a, b in edges])
+                yield _edge_batch([(own[a][1], own[b][1]) for a, b in edges])
 
-    sure = scratch.keep(texts.repartition("group").sortWithinPartitions("group", "class_id").mapInArrow(confirm, "a long, b long").distinct(), "sure")
-    roots = components(sure, scratch, "roots").withColumnRenamed("v", "class_id")
-    return rows.drop("signature"), roots
+    sure = scratch.keep(texts.repartition("group").sortWithinPartitions("group", "class_id").mapInArrow(confirm, "a long, b long").distinct(), f"sure{name}")
+    scratch.drop(*[f"{t}{name}" for t in ("near", "members", "grouped", "copies")])
+    release_shuffles(scratch.spark)
+    return sure
+
+
+def links(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, roots): what ``signed`` gives without signature and sketch, (class_id, set_id, n) of each class, and (class_id, root) of classes linked with others."""
+    rows = scratch.keep(signed(docs, width), "rows")
+    classes = rows.where("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
+    classes = scratch.keep(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
+    small, dense = similar_nodes(classes, percent, scratch)
+    nodes = small.select("node", "class_id").unionByName(with_representatives(dense))
+    sure = _confirmed_links(nodes, classes, docs, rows, width, percent, scratch, "")
+    roots = components(sure, scratch, "roots")
+    if not dense.isEmpty():
+        more = _confirmed_links(scratch.keep(with_the_rest(dense, roots, scratch), "rest"), classes, docs, rows, width, percent, scratch, "_rest")
+        roots = components(sure.unionByName(more), scratch, "all_roots")
+    return rows.drop("signature", "sketch"), classes, roots.withColumnRenamed("v", "class_id")
+
+
+def _least(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(rows, least): ``rows`` of ``links``, and for each set_id the first (no_id, doc_id, key) of its component.
+
+    First is the smallest doc_id (a null one only if there is no other), then the smallest key.
+    """
+    rows, classes, roots = links(docs, width, percent, scratch)
+    own = rows.where("set_id is not null").groupBy("set_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("own"))
+    own = scratch.keep(own.join(classes.select("set_id", "class_id"), "set_id").join(roots, "class_id", "left"), "own")
+    linked = own.where("root is not null")
+    first = linked.groupBy("root").agg(F.min("own").alias("least"), F.count(F.lit(1)).alias("n"))
+    of_linked = hotkeys.joined(linked.select("set_id", "root"), first, ["root"], linked.count()).select("set_id", "least")
+    least = scratch.keep(own.where("root is null").select("set_id", F.col("own").alias("least")).unionByName(of_linked), "least")
+    scratch.drop("own", "classes", "rest", "labelled")
+    return rows, least
 
 
 def group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -256,21 +336,15 @@ def group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; sets are distinct shingles of ``width``
     words, or the whole sequence of fewer words. Two documents are linked if 100 * intersection >= ``percent`` *
     union. component_id is the smallest doc_id that links reach, the row's own included. A null or empty text has an
-    empty set and is linked with nothing; equal sets are linked, so repeated rows are; a row with a null doc_id links
-    others but its doc_id is never the smallest; other columns are not read; an empty table gives no rows.
+    empty set and is linked with nothing; a text of any length is taken whole; equal sets are linked, so repeated rows
+    are; a row with a null doc_id links others but its doc_id is never the smallest; other columns are not read; an
+    empty table gives no rows.
     """
-    rows = _rooted(docs, width, percent, Scratch(docs.sparkSession, "near_dup"))
-    smallest = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    out = rows.join(smallest, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest")))
+    rows, least = _least(docs, width, percent, Scratch(docs.sparkSession, "near_dup"))
+    out = rows.join(least, "set_id", "left").withColumn("component_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")))
     return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _rooted(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
-    """What ``links`` gives of each row, with the root of its component; none for an empty set."""
-    rows, roots = links(docs, width, percent, scratch)
-    return rows.join(roots, "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
-
-
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component that ``group`` finds, all columns unchanged, and every row with an empty set.
 
@@ -278,12 +352,12 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     repeat doc_id and text, the one whose columns come first as JSON.
     """
     scratch = Scratch(docs.sparkSession, "near_dup")
-    rows = _rooted(docs, width, percent, scratch)
-    keys = rows.where("root is not null").groupBy("root", "key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    first = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "copies")).alias("first")).select("first.key", "first.copies")
-    empty = rows.where("root is null").select("key", F.lit(1).cast("long").alias("copies")).distinct()
+    rows, least = _least(docs, width, percent, scratch)
+    copies = rows.where("set_id is not null").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    first = least.select("least.key").distinct().join(copies, "key")
+    empty = rows.where("set_id is null").select("key", F.lit(1).cast("long").alias("copies")).distinct()
     kept = scratch.keep(first.unionByName(empty).withColumnRenamed("key", "_key"), "kept")
-    keyed_rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("_key"))
+    keyed_rows = docs.select(F.struct("*").alias("_row"), _key().alias("_key"))
     out = keyed_rows.join(kept.where("copies = 1"), "_key", "left_semi").select("_row.*")
     repeated = kept.where("copies > 1")
     if repeated.isEmpty():

@@ -105,6 +105,51 @@ def test_branches_find_pairs_at_the_threshold():
     assert found.all()
 
 
+def test_deep_branches_find_pairs_too():
+    """Recall of pairs at the threshold by all trees, at each depth: 0.99 and more."""
+    rng = np.random.default_rng(2)
+    sets = []
+    for _ in range(300):
+        both = rng.integers(0, 1 << 63, 850, dtype=np.uint64)
+        sets += [np.unique(np.concatenate((both, rng.integers(0, 1 << 63, 75, dtype=np.uint64)))) for _ in range(2)]
+    signatures = near_dup.minwise(sets)
+    at = [(np.arange(600), np.full(600, tree + 1, np.uint64)) for tree in range(near_dup.TREES)]
+    for _ in range(14):
+        found, below = np.zeros(300, bool), []
+        for rows, nodes in at:
+            chosen, child = near_dup.children(nodes, signatures[rows], 85)
+            rows = rows[chosen]
+            both = np.unique(np.stack((child, (rows // 2).astype(np.uint64), (rows % 2).astype(np.uint64)), 1), axis=0)
+            same = (both[1:, :2] == both[:-1, :2]).all(1)
+            found[both[1:][same][:, 1].astype(np.int64)] = True
+            # only nodes that both have go on, as nothing else can be found below
+            alive = set(map(tuple, both[1:][same][:, :2].tolist()))
+            keep = np.array([(n, r // 2) in alive for n, r in zip(child.tolist(), rows.tolist(), strict=True)], bool)
+            below.append((rows[keep], child[keep]))
+        assert found.mean() >= 0.99
+        at = below
+
+
+def test_a_dense_node_is_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "SMALL", 40)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for _ in range(250):
+        copy = list(base)
+        for _ in range(rng.randint(0, 2)):
+            copy[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append(copy)
+    for k in range(30):  # a copy of a copy, like few others, and some that are like none
+        copy = list(rows[k])
+        for _ in range(rng.randint(3, 9)):
+            copy[rng.randrange(150)] = f"y{rng.randrange(10**6)}"
+        rows.append(copy)
+    rows = list(enumerate(" ".join(r) for r in rows))
+    got = [(str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dup.group(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()]
+    assert sorted(got) == sorted(brute(rows, 3, 85))
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 200)] + [(500, i) for i in range(501, 700)] + [(rng.randint(1000, 1200), rng.randint(1000, 1200)) for _ in range(100)] + [(9, 9)]
