@@ -19,6 +19,8 @@ from reelgap.llm.fences import fenced
 #: Fixed: what ends a word, and what counts as a symbol.
 WHITE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 BUCKETS = 1 << 14
+#: Raw n-grams that count as trusted, a bucket: 10 give unlabelled text of the same kind the same verdicts at all sizes.
+PRIOR = 10
 #: A document goes if its n-grams are on average this much (in nats) likelier in the raw corpus than in trusted text.
 THRESHOLD = -0.08
 
@@ -49,19 +51,20 @@ def hashed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_words", words(F.col("_text"))).select("_row", "_text", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS) -> list[float]:
-    """log(trusted / raw) of each bucket, with one added to every count; zeros without trusted documents.
+def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS, prior: int = PRIOR) -> list[float]:
+    """log(trusted / raw) of each bucket; zeros without trusted documents and for buckets that no n-gram falls in.
 
-    All ``docs`` count as raw. Trusted are all that ``labels`` calls good and not toxic.
+    All ``docs`` count as raw. Trusted are all that ``labels`` calls good and not toxic, together with ``prior`` n-grams
+    a bucket, on average, that are spread like the raw ones: with little trusted text the ratios are near zero.
     """
     ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("_trusted", F.lit(1))
     grams = hashed(docs).select(F.col("_row.doc_id").cast("long").alias("_id"), buckets(F.col("_hashes"), n).alias("_grams"))
     grams = grams.join(ids, "_id", "left").select(F.explode_outer("_grams").alias("_gram"), "_trusted")
     counts = grams.where("_gram is not null").groupBy("_gram").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # n rows at most
-    raw, good = n + sum(r.raw for r in counts), n + sum(r.trusted for r in counts)
-    out = [math.log(raw / good) if good > n else 0.0] * n
-    for r in counts if good > n else ():
-        out[r["_gram"]] = math.log((r.trusted + 1) / good) - math.log((r.raw + 1) / raw)
+    raw, good = sum(r.raw for r in counts), sum(r.trusted for r in counts)
+    out = [0.0] * n
+    for r in counts:
+        out[r["_gram"]] = math.log((r.trusted * raw / r.raw + prior * n) / (good + prior * n))
     return out
 
 
@@ -100,8 +103,8 @@ def judged(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) -
 def measures(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) -> DataFrame:
     """A row of counts and verdict for each row of ``docs`` (doc_id, text).
 
-    A null or empty text has no words and fails; a null doc_id stays null; repeated rows are measured each; other
-    columns are not read; an empty table gives no rows.
+    A null or empty text has no words and fails; a text of any length is counted whole; a null doc_id stays null;
+    repeated rows are measured each; other columns are not read; an empty table gives no rows.
     """
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged(docs, ratios, threshold).select(F.col("_row.doc_id").cast("long").alias("doc_id"), *[F.col(f"_{x}").alias(x) for x in names], F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_score").alias("score"))

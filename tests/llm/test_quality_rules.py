@@ -52,14 +52,16 @@ def test_ratios_and_scores(spark):
     ratios = rules.log_ratios(docs, labels, n=64)
     # brute force: buckets from the same hash function, counts in Python
     h = {r.t: r.b for r in spark.createDataFrame([(t,) for t in {*good, *bad, "the film"}], "t string").select("t", rules.buckets(F.transform(rules.words(F.col("t")), lambda w: F.xxhash64(w)), 64).alias("b")).collect()}
-    raw, trusted = [1] * 64, [1] * 64
+    raw, trusted = [0] * 64, [0] * 64
     for t in [*good, *bad, "the film"]:
         for b in h[t]:
             raw[b] += 1
     for t in good[:2]:
         for b in h[t]:
             trusted[b] += 1
-    want = [math.log(t / sum(trusted)) - math.log(r / sum(raw)) for t, r in zip(trusted, raw, strict=True)]
+    mass = 10 * 64  # as many n-grams, spread like the raw ones, count as trusted
+    smooth = [(t + mass * r / sum(raw)) / (sum(trusted) + mass) for t, r in zip(trusted, raw, strict=True)]
+    want = [math.log(t / (r / sum(raw))) if r else 0.0 for t, r in zip(smooth, raw, strict=True)]
     assert all(abs(a - b) < 1e-9 for a, b in zip(ratios, want, strict=True))
     score = {r.doc_id: r.score for r in rules.measures(docs, ratios).collect()}
     assert abs(score[0] - sum(want[b] for b in h[good[0]]) / len(h[good[0]])) < 1e-9
@@ -78,3 +80,16 @@ def test_all_trusted_documents_count(spark):
     docs = ids.select(F.col("id").alias("doc_id"), F.lit("word").alias("text"))
     labels = ids.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     assert all(abs(r) < 1e-9 for r in rules.log_ratios(docs, labels, n=64))  # trusted and raw are the same
+
+
+def test_little_trusted_text_rejects_little(spark):
+    """Unlabelled text of the trusted kind stays, however few trusted documents there are; other text goes once there are enough."""
+    rng = random.Random(6)
+    kinds = [[f"w{i}" for i in range(3000)], [f"z{i}" for i in range(300)]]
+    rows = [(i, " ".join(rng.choice(kinds[i % 10 == 9]) for _ in range(120))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for trusted in (3, 30, 200):
+        labels = spark.createDataFrame([(i, 1, 0) for i in range(400) if i % 10 != 9][:trusted], "doc_id long, quality int, toxic int")
+        kept = {r.doc_id for r in rules.measures(docs, rules.log_ratios(docs, labels)).collect() if r.kept}
+        assert len(kept & {i for i in range(400) if i % 10 != 9}) >= 350
+    assert not kept & {i for i in range(400) if i % 10 == 9}
