@@ -55,11 +55,15 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
 
 
+ORACLE["op10_exact_top_k"] = topk.SQL
+
+
 @_query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.classify(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
 
+
 #: (verdict, host and path) of the rules; the longest that fits decides.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
