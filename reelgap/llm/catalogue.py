@@ -32,16 +32,32 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warc_digest(captures: DataFrame) -> DataFrame:
     r = F.col("response")
-    return captures.select(F.col("metadata.page_id").alias("page_id"), r["payload_bytes"].alias("payload_bytes"), r["payload_digest"].alias("payload_digest"), r["kind"].alias("record_type"), r["refers_to"].alias("refers_to"))
+    return warc.with_referred_pages(captures).select(F.col("metadata.page_id").alias("page_id"), r["payload_bytes"].alias("payload_bytes"), r["payload_digest"].alias("payload_digest"), r["kind"].alias("record_type"), F.col("refers_to_page").alias("refers_to"))
 
 
 @_query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), scratch.path("archive"), min_bytes=0)
-    captures = scratch.keep(warc_digest(warc.captures(warc.read(spark, scratch.path("archive")))), "captures")
+    captures = scratch.keep(warc.captures(warc.read(spark, scratch.path("archive"))), "captures")
     scratch.drop("archive")
-    return captures
+    return warc_digest(captures)
+
+
+#: The same rows as op8_warc, as DuckDB reads it; base32 takes five bits of the SHA-1 at a time.
+ORACLE["op8_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, unhex(sha1(html))::BIT::VARCHAR AS bits FROM p),
+d AS (
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + substr(bits, 5 * i::INTEGER + 1, 5)::BIT::INTEGER, 1) FOR i IN range(32)], '') AS payload_digest
+  FROM h
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
 
 
 @_query
