@@ -9,6 +9,7 @@ range of ranks of one length into consecutive windows. Executors then look up th
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from reelgap.llm import wordhash
 from reelgap.llm.scratch import Scratch
 
-#: Ranks are counted in so many parts of each length, as one length may hold a third of all pieces.
-PARTS = 32
+#: Pieces of one length are ranked in parts of about so many.
+PART = 20_000
 
 
 class TightestOpen:
@@ -109,20 +110,21 @@ def tokenised(docs: DataFrame, tokenizer_path: str, window: int, end_id: int) ->
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int = 2) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) with their places in sequences of at most ``window`` ids.
 
-    A null text is empty and has the end id only; a null doc_id stays null; repeated rows are packed each; other
-    columns are not read; an empty table gives no rows. Pieces of one length are ranked by doc_id, start and
-    checksum, so ties are between rows that are alike.
+    A null text is empty and has the end id only; a text of any length is cut into windows; a null doc_id stays null;
+    repeated rows are packed each; other columns are not read; an empty table gives no rows. Pieces of one length are
+    ranked within parts by doc_id, start and checksum, so ties are between rows that are alike.
     """
     spark = docs.sparkSession
-    pieces = Scratch(spark, "packing").keep(tokenised(docs, tokenizer_path, window, end_id), "pieces")
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(PARTS)))
-    # at most window * PARTS rows
+    pieces = Scratch(spark, "packing").keep(tokenised(docs, tokenizer_path, window, end_id).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # window rows at most
+    # one length may hold a third of all pieces: each has a part for PART pieces, so there are window + pieces / PART parts at most
+    parts = F.from_json(F.lit(json.dumps([1 + counts.get(n, 0) // PART for n in range(window + 1)])), "array<int>")
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("_row"), F.get(parts, F.col("length").cast("int"))))
     sizes = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.withColumn("base", F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n"))
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    before = sizes.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("base"))
     steps = spark.createDataFrame(plan(counts, window), "length long, rank_from long, rank_to long, first_sequence long, each long, first_offset long")
-    ranked = pieces.withColumn("nth", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")) - 1)
-    ranked = ranked.join(F.broadcast(before.select("length", "part", "base")), ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
+    ranked = pieces.withColumn("nth", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32", "doc_tokens", "_row")) - 1)
+    ranked = ranked.join(F.broadcast(before), ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
     placed = ranked.join(F.broadcast(steps), "length").where("rank >= rank_from and rank < rank_to")
     nth = F.col("rank") - F.col("rank_from")
     return placed.select(
