@@ -99,8 +99,9 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, level:
         spot = first[part, None] + np.arange(2 * width - 1)[None, :]
         hit = (grams[np.minimum(spot, len(grams) - 1)] == hashes[part, None]) & (spot < (last[part] + width - 1)[:, None])
         twice[part[hit.sum(1) > 1]] = 2
+    del grams, least, sums
     # a polynomial over mixed eight-byte symbols, unlike that of the grams over single bytes
-    sums = _sums(wordhash.mix(_symbols(data, len(data) - SYMBOL + 1))) if len(first) else sums
+    sums = _sums(wordhash.mix(_symbols(data, len(data) - SYMBOL + 1)))
     name = wordhash.mix((sums[last + length - SYMBOL] - sums[first]) * down[first] + (last - first).astype(np.uint64))
     return text, first - starts[text], last - first, hashes, twice, name
 
@@ -232,6 +233,12 @@ def _columns(rows: list[tuple], kinds: list, names: list[str]):
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
+def pieces(data: bytes, length: int, size: int = wordhash.CHUNK) -> Iterator[tuple[int, bytes]]:
+    """(first place, bytes) of pieces that have each string of ``data`` once; a segment that lies in two is two segments."""
+    for at in range(0, max(len(data) - length + 1, 1), size):
+        yield at, data[at : at + size + length - 1]
+
+
 FOUND = ("id", "weight", "at", "span", "hash", "twice", "name")
 
 
@@ -243,10 +250,10 @@ def _found(strings: DataFrame, length: int, gram: int, level: int) -> DataFrame:
 
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), (d.as_py() for d in batch.column(2)), strict=True)
-            for chunk in wordhash.chunks(rows):
+            for chunk in wordhash.chunks((i, w, base, part) for i, w, d in rows for base, part in pieces(d, length)):
                 text, at, n, hashes, twice, names = segments([d for *_, d in chunk], length, gram, level)
-                ids, weights = (np.array([c[i] for c in chunk], np.int64)[text] for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, weights, at, n, hashes.view(np.int64), twice, names.view(np.int64))], names=list(FOUND))
+                ids, weights, bases = (np.array([c[i] for c in chunk], np.int64)[text] for i in (0, 1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, weights, bases + at, n, hashes.view(np.int64), twice, names.view(np.int64))], names=list(FOUND))
 
     return strings.select("id", "weight", "data").mapInArrow(run, ", ".join(f"{c} long" for c in FOUND))
 
