@@ -6,9 +6,9 @@ of its bytes. Only segments whose hash is found again can hold a repeat; the oth
 looked up once, in one of the documents that have it, and stand for all its copies by weight.
 
 Finding what does repeat. Segments of one hash meet in a task and are put into shards. A shard's suffixes are sorted,
-which gives its Burrows-Wheeler transform, in symbols of eight bytes, and the map from each suffix to the one that
+which gives its Burrows-Wheeler transform, in symbols of 16 bytes, and the map from each suffix to the one that
 starts a symbol earlier. The transforms are merged by interleave refinement: from the interleaving of all suffixes
-by their first h bytes, walking it and dropping each preceding symbol into its bucket gives that by the first h + 8
+by their first h bytes, walking it and dropping each preceding symbol into its bucket gives that by the first h + 16
 bytes, and where symbol or interval changes, a common prefix ends. A suffix alone in its interval has its longest
 common prefix with the neighbours found and is left behind, with the suffixes before it. Suffixes with a common
 prefix of 200 bytes are the repeated strings.
@@ -31,7 +31,9 @@ from pyspark.sql import types as T
 from reelgap.llm import hotkeys, wordhash
 from reelgap.llm.scratch import Scratch, release_shuffles
 
-LENGTH, GRAM, SYMBOL = 200, 64, 8
+LENGTH, GRAM = 200, 64
+#: Bytes that are read as one number, and bytes of a symbol of the transform.
+WORD, SYMBOL = 8, 16
 #: Bytes of segments that are merged together, bytes of a shard, and bytes of one hash's different segments that aren't cut again.
 BATCH, SHARD, MOST = 1 << 20, 1 << 16, 1 << 20
 
@@ -44,7 +46,7 @@ def _sums(letters: np.ndarray) -> np.ndarray:
     return sums
 
 
-def _symbols(data: np.ndarray, n: int) -> np.ndarray:
+def _words(data: np.ndarray, n: int) -> np.ndarray:
     """The eight bytes at each of the first ``n`` places as one number, in the bytes' order."""
     return np.ndarray((n,), ">u8", data.data, strides=(1,)).astype(np.uint64)
 
@@ -101,8 +103,8 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, level:
         twice[part[hit.sum(1) > 1]] = 2
     del grams, least, sums
     # a polynomial over mixed eight-byte symbols, unlike that of the grams over single bytes
-    sums = _sums(wordhash.mix(_symbols(data, len(data) - SYMBOL + 1)))
-    name = wordhash.mix((sums[last + length - SYMBOL] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+    sums = _sums(wordhash.mix(_words(data, len(data) - WORD + 1)))
+    name = wordhash.mix((sums[last + length - WORD] - sums[first]) * down[first] + (last - first).astype(np.uint64))
     return text, first - starts[text], last - first, hashes, twice, name
 
 
@@ -110,7 +112,7 @@ class Shard:
     """Strings side by side with their sorted suffixes, the symbol before each suffix, and where that one starts."""
 
     def __init__(self, strings: list[bytes], weights: list[int], length: int) -> None:
-        self.data = np.frombuffer(b"".join(strings) + bytes(SYMBOL), np.uint8)
+        self.data = np.frombuffer(b"".join(strings) + bytes(WORD), np.uint8)
         sizes = np.array([len(s) for s in strings], np.int64)
         n = int(sizes.sum())
         starts = np.cumsum(sizes) - sizes
@@ -118,9 +120,9 @@ class Shard:
         self.left = np.repeat(starts + sizes, sizes) - np.arange(n)  # bytes to the end of the string
         self.offset = np.arange(n) - starts[self.string]
         self.weight = np.asarray(weights, np.int64)[self.string]
-        #: The symbol at each place. The transform is, in sorted order, that before each suffix, with the rank of the suffix it starts (-1: none).
-        self.symbols = _symbols(self.data, n)
-        self.order = _sorted_suffixes(self.symbols, length)
+        #: Eight bytes at each place. The transform is, in sorted order, the symbol before each suffix, with the rank of the suffix it starts (-1: none).
+        self.words = _words(self.data, n)
+        self.order = _sorted_suffixes(self.words, length)
         rank = np.empty(n, np.int64)
         rank[self.order] = np.arange(n)
         before = self.order - SYMBOL
@@ -128,13 +130,13 @@ class Shard:
         self.earlier = np.where(has, rank[np.where(has, before, 0)], -1) if n else np.zeros(0, np.int64)
 
 
-def _sorted_suffixes(symbols: np.ndarray, length: int) -> np.ndarray:
-    """Places by their next ``length`` bytes or more, by prefix doubling from their symbols on; those alike go on."""
-    order = np.argsort(symbols, kind="stable")
-    n, width = len(order), SYMBOL
+def _sorted_suffixes(words: np.ndarray, length: int) -> np.ndarray:
+    """Places by their next ``length`` bytes or more, by prefix doubling from eight bytes on; those alike go on."""
+    order = np.argsort(words, kind="stable")
+    n, width = len(order), WORD
     if not n:
         return order
-    head = np.concatenate(([True], symbols[order[1:]] != symbols[order[:-1]]))
+    head = np.concatenate(([True], words[order[1:]] != words[order[:-1]]))
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
@@ -160,46 +162,47 @@ def merged_prefixes(shards: list[Shard], length: int = LENGTH) -> list[np.ndarra
     """
     offsets = np.cumsum([0] + [len(s.order) for s in shards])
     start = length % SYMBOL or SYMBOL
-    _, dense = np.unique(np.concatenate([s.symbols for s in shards]), return_inverse=True)  # symbols in order, as small numbers
-    dense = np.split(dense, offsets[1:-1])
-    symbols = np.concatenate([np.where(s.earlier >= 0, d[np.maximum(s.order - SYMBOL, 0)], -1) for s, d in zip(shards, dense, strict=True)])
-    earlier = np.concatenate([np.where(s.earlier >= 0, s.earlier + o, -1) for s, o in zip(shards, offsets[:-1], strict=True)])
+    words = np.concatenate([s.words for s in shards])
+    dense, first = (np.split(_dense(words, m), offsets[1:-1]) for m in (SYMBOL, start))
+    first = np.concatenate([d[s.order] for s, d in zip(shards, first, strict=True)])
+    symbols = np.concatenate([d[np.maximum(s.order - SYMBOL, 0)] for s, d in zip(shards, dense, strict=True)])
+    earlier = np.concatenate([np.where(s.earlier >= 0, s.earlier + o, -1) for s, o in zip(shards, offsets[:-1], strict=True)]).astype(np.int32)
     left = np.concatenate([s.left[s.order] for s in shards])
-    first = np.concatenate([s.symbols[s.order] >> np.uint64(8 * (SYMBOL - start)) for s in shards])
-    if start < SYMBOL:
-        first = np.unique(first, return_inverse=True)[1]
-    else:
-        first = np.concatenate([d[s.order] for s, d in zip(shards, dense, strict=True)])
-    common = np.zeros(offsets[-1], np.int64)
+    common = np.zeros(offsets[-1], np.int32)
     # the suffixes in buckets of their first symbol
-    suffix = np.flatnonzero(left >= start)
-    suffix, interval = _place(suffix, first[suffix], np.zeros(len(suffix), np.int64))
+    suffix = np.flatnonzero(left >= start).astype(np.int32)
+    suffix, interval = _place(suffix, first[suffix], np.zeros(len(suffix), np.int32))
     common[suffix] = start
     for depth in range(start + SYMBOL, length + 1, SYMBOL):
-        has = earlier[suffix] >= 0
-        suffix, interval = suffix[has], interval[has]
-        suffix, interval = _place(earlier[suffix], symbols[suffix], interval)
+        before = earlier[suffix]
+        has = before >= 0
+        suffix, interval = _place(before[has], symbols[suffix[has]], interval[has])
         common[suffix] = depth
     return np.split(common, offsets[1:-1])
 
 
+def _dense(words: np.ndarray, m: int) -> np.ndarray:
+    """The ``m`` bytes at each place, 1 to 16, as small numbers in the bytes' order; places near the end have any number."""
+    if m <= WORD:
+        return np.unique(words >> np.uint64(8 * (WORD - m)), return_inverse=True)[1].astype(np.int32)
+    dense = np.unique(words, return_inverse=True)[1]
+    ahead = np.concatenate((dense[m - WORD :], dense[: m - WORD]))[: len(dense)]
+    return np.unique(dense << 32 | ahead, return_inverse=True)[1].astype(np.int32)
+
+
 def _place(suffix: np.ndarray, symbols: np.ndarray, interval: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes dropped into the buckets of their symbols in the order given; intervals of one are left out."""
     if not len(suffix):
         return suffix, interval
-    order = _buckets(symbols)
-    suffix, symbols, interval = suffix[order], symbols[order], interval[order]
+    dropped = symbols.astype(np.int64) << 32 | np.arange(len(suffix))  # bucket, then place in the walk
+    dropped.sort()
+    order, symbols = (dropped & 0xFFFFFFFF).astype(np.int32), dropped >> 32
+    interval = interval[order]
     new = np.ones(len(suffix) + 1, bool)
-    new[1:-1] = (symbols[1:] != symbols[:-1]) | (interval[1:] != interval[:-1])
-    keep = ~(new[:-1] & new[1:])
-    return suffix[keep], np.cumsum(new[:-1])[keep]
-
-
-def _buckets(symbols: np.ndarray) -> np.ndarray:
-    """The order of ``symbols`` by bucket, then as they come: a stable pass over each 16 bits, without comparisons."""
-    order = np.argsort(symbols.astype(np.uint16), kind="stable")
-    high = symbols >> 16
-    return order[np.argsort(high[order].astype(np.uint16), kind="stable")] if high.any() else order
+    np.not_equal(symbols[1:], symbols[:-1], out=new[1:-1])
+    new[1:-1] |= interval[1:] != interval[:-1]
+    keep = np.flatnonzero(~(new[:-1] & new[1:]))
+    return suffix[order[keep]], np.cumsum(new[:-1], dtype=np.int32)[keep]
 
 
 def repeated(strings: list[bytes], weights: list[int], length: int = LENGTH) -> list[list[tuple[int, int]]]:
