@@ -35,7 +35,7 @@ LENGTH, GRAM = 200, 64
 #: Bytes that are read as one number, and bytes of a symbol of the transform.
 WORD, SYMBOL = 8, 16
 #: Bytes of segments that are merged together, bytes of a shard, and bytes of one hash's different segments that aren't cut again.
-BATCH, SHARD, MOST = 1 << 20, 1 << 16, 1 << 20
+BATCH, SHARD, MOST = 1 << 20, 1 << 16, 1 << 18
 
 
 def _sums(letters: np.ndarray) -> np.ndarray:
