@@ -30,7 +30,7 @@ from reelgap.llm.scratch import Scratch, release_shuffles
 
 COORDINATES, TREES = 128, 16
 #: Nodes of at most so many classes are compared exhaustively, as are blocks of that size; a larger node that keeps more than this share of the node above it is compared in blocks.
-SMALL, DENSE = 500, 0.7
+SMALL, DENSE = 4000, 0.7
 #: Sketches that agree in fewer coordinates than the threshold less this many standard deviations are not compared further.
 DEVIATIONS = 5
 #: Shingles that a task confirms together, about; a group with more is confirmed in pairs of blocks.

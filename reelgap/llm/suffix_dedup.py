@@ -24,7 +24,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ LENGTH, GRAM = 200, 64
 #: Bytes that are read as one number, and bytes of a symbol of the transform.
 WORD, SYMBOL = 8, 16
 #: Bytes of segments that are merged together, bytes of a shard, and bytes of one hash's different segments that aren't cut again.
-BATCH, SHARD, MOST = 1 << 20, 1 << 16, 1 << 18
+BATCH, SHARD, MOST = 1 << 20, 1 << 16, 1 << 20
 
 
 def _sums(letters: np.ndarray) -> np.ndarray:
@@ -324,21 +324,34 @@ def repeats(strings: DataFrame, scratch: Scratch, length: int = LENGTH, gram: in
     groups = one.groupBy("hash").agg(F.sum(F.col("span") + length - 1).alias("bytes"), F.count(F.lit(1)).alias("many"))
     large = scratch.keep(groups.where((F.col("bytes") > most) & F.lit(width < length)).select("hash", F.col("many").alias("n")), name("large"))
     hot = not large.isEmpty()
-    small = one.join(large.select("hash"), "hash", "left_anti") if hot else one
-    contents = _contents(strings, small, length).repartition("hash").sortWithinPartitions("hash", "name")
+    contents = _contents(strings, one, length)
+    if hot:  # the bytes are looked up once, for both kinds of groups
+        contents = scratch.keep(contents.select(F.monotonically_increasing_id().alias("id"), "hash", "name", "weight", F.col("content").alias("data")), name("contents"))
+        release_shuffles(spark)
+        total_large = large.agg(F.sum("n")).first()[0]
+        cut = scratch.keep(hotkeys.joined(contents, large, ["hash"], total_large).drop("n"), name("cut"))
+        contents = contents.select("hash", "name", "weight", F.col("data").alias("content")).join(large.select("hash"), "hash", "left_anti")
+    contents = contents.repartition("hash").sortWithinPartitions("hash", "name")
     flagged = scratch.keep(contents.mapInArrow(lambda b: _merge(b, length, batch_bytes), "hash long, name long, n long, ranges array<struct<low: long, high: long>>"), name("flagged"))
+    scratch.drop(name("contents"))
     release_shuffles(spark)
     if hot:  # the different segments of a large group are strings to be cut by longer grams
-        wanted = hotkeys.joined(one, large, ["hash"], large.agg(F.sum("n")).first()[0]).drop("n")
-        cut = _contents(strings, wanted, length).select(F.monotonically_increasing_id().alias("id"), "hash", "name", "weight", F.col("content").alias("data"))
-        cut = scratch.keep(cut, name("cut"))
-        deeper = repeats(cut, scratch, length, gram, batch_bytes, most, level + 1).groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        deeper = repeats(cut, scratch, length, gram, batch_bytes, most, level + 1).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("ranges"))
+        deeper = deeper.select("id", _joined_ranges(F.col("ranges")).alias("ranges"))
         flagged = flagged.unionByName(cut.select("id", "hash", "name", F.col("weight").alias("n")).join(deeper, "id").drop("id"))
     at = hotkeys.joined(live.select("hash", "name", "id", "at"), flagged, ["hash", "name"], total)
     at = at.select("id", "at", F.explode("ranges").alias("r"))
     return scratch.keep(at.select("id", (F.col("at") + F.col("r.low")).alias("low"), (F.col("at") + F.col("r.high")).alias("high")), name("places"))
 
 
+def _joined_ranges(ranges: Column) -> Column:
+    """Sorted ranges (low, high) with those that touch made one; a segment has few places, so the array is short."""
+    none = F.slice(ranges, 1, 0)
+    last = lambda a: F.element_at(a, -1)
+    grown = lambda a, r: F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last(a)["low"].alias("low"), F.greatest(last(a)["high"], r["high"]).alias("high"))))
+    return F.aggregate(ranges, none, lambda a, r: F.when((F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["high"] >= r["low"]), grown(a, r)).otherwise(F.concat(a, F.array(r))))
+
+
 def _spans(docs: DataFrame, scratch: Scratch, length: int, **sizes: int) -> tuple[DataFrame, DataFrame]:
     """(rows, ranges): ``docs`` with a number for each row (_id) and its text's bytes (_data), and for each number the sorted places where a repeated string starts.
 
@@ -350,7 +363,7 @@ def _spans(docs: DataFrame, scratch: Scratch, length: int, **sizes: int) -> tupl
     places = repeats(strings, scratch, length, **sizes)
     ranges = places.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("_ranges")).withColumnRenamed("id", "_id")
     ranges = scratch.keep(ranges, "ranges")
-    scratch.drop(*[f"{t}{k}" for t in ("live", "one", "large", "flagged", "cut", "places", "segments", "again") for k in range(5)])
+    scratch.drop(*[f"{t}{k}" for t in ("live", "one", "large", "flagged", "cut", "places") for k in range(5)])
     release_shuffles(docs.sparkSession)
     return rows, ranges
 
