@@ -271,7 +271,7 @@ def _confirmed_links(nodes: DataFrame, classes: DataFrame, docs: DataFrame, rows
             if edges := forest(sketches, least):
                 yield _edge_batch([(own[a][1], own[b][1]) for a, b in edges])
 
-    sketched = nodes.join(classes.select("class_id", "sketch"), "class_id").select("node", "class_id", "sketch")
+    sketched = nodes.join(classes.select("class_id", "sketch").hint("merge"), "class_id").select("node", "class_id", "sketch")
     near = scratch.keep(sketched.repartition("node").sortWithinPartitions("node", "class_id").mapInArrow(connect, "a long, b long").distinct(), f"near{name}")
     clusters = components(near, scratch, f"clusters{name}").withColumnRenamed("v", "class_id")
     # the members of a cluster in a node are a group; nodes with the same members need one of them only
@@ -284,8 +284,8 @@ def _confirmed_links(nodes: DataFrame, classes: DataFrame, docs: DataFrame, rows
     grouped = grouped.select("key", "class_id", F.xxhash64("node", "root", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
     grouped = scratch.keep(grouped, f"grouped{name}")
     copies = grouped.select("key").distinct().join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
-    texts = hotkeys.joined(keyed(docs).select("key", "text"), scratch.keep(copies, f"copies{name}"), ["key"], rows.count()).dropDuplicates(["key"]).select("key", "text")
-    texts = texts.join(grouped, "key").select("group", "class_id", "text")
+    texts = hotkeys.joined(keyed(docs).select("key", "text"), scratch.keep(copies, f"copies{name}"), ["key"], rows.count(), always_shuffle=True).dropDuplicates(["key"]).select("key", "text")
+    texts = texts.join(grouped.hint("merge"), "key").select("group", "class_id", "text")
 
     def confirm(batches: Iterator) -> Iterator:
         for _, own in _groups(batches, 3):
