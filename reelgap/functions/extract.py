@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,15 +25,19 @@ PUBLISHED = r'"@type"\s*:\s*"Movie"[\s\S]{0,600}?"datePublished"\s*:\s*"(\d{4}-\
 SOURCE2_LINK = r'href="(/(?:releasegroup/gr|title/tt)[^"?#]*)"[^>]*>([^<]+)</a>'
 SOURCE2_WORLDWIDE = r"Worldwide[\s\S]{0,2000}?\$([\d,]+)"
 SOURCE2_BUDGET = r"Production Budget[\s\S]{0,800}?\$([\d,]+)"
-SOURCE3_LINK = r'href="(https://[^"/]+/box-office/[^"]+)"[^>]*>([^<]*)</a>'
-SOURCE3_FALLBACK = r'href="(https://[^"/]+/[^"]*(?:collection|box-office)[^"]*)"'
+SOURCE3_LINK = r'href="(https://{host}/box-office/[^"]+)"[^>]*>([^<]*)</a>'
+SOURCE3_FALLBACK = r'href="(https://{host}/[^"]*(?:collection|box-office)[^"]*)"'
 SOURCE3_WORLDWIDE = (
     r"(?i)(?:Total Worldwide|Worldwide Total|Total(?:\s+Box\s+Office)?|Lifetime(?:\s+Box\s+Office)?)"
     r"\s*(?:Box\s*Office\s*)?Collection\s*[:\-–]?\s*(?:Rs\.?|₹|INR)?\s*([\d,.]+)\s*(?:Crore|Cr\.?|cr)"
 )
 SOURCE3_BUDGET = r"(?i)(?:Production\s+|Film\s+|Made\s+on\s+a\s+)?Budget\s*[:\-–]?\s*(?:Rs\.?|₹|INR)?\s*([\d,.]+)\s*(?:Crore|Cr\.?|cr)"
-MOVIE_SLUGS = r"<loc>https://[^</]+/movie/([A-Za-z0-9_]+)</loc>"
-ACTOR_PAGES = r"<loc>(https://[^</]+/news/List_Of_All_([A-Za-z0-9_]+?)_Movies(?:_\d+)?)</loc>"
+MOVIE_SLUGS = r"<loc>https://{host}/movie/([A-Za-z0-9_]+)</loc>"
+ACTOR_PAGES = r"<loc>(https://{host}/news/List_Of_All_([A-Za-z0-9_]+?)_Movies(?:_\d+)?)</loc>"
+SUB_SITEMAP = r"<loc>(https://{host}/[^<]*sitemap[^<]*\.xml)</loc>"
+OG_URL = r'"og:url"[^>]*content="([^"]+)"'
+OG_TITLE = r'"og:title" content="List Of All ([^|"]+?) Movies'
+ANY_HOST = r'[^<"/]+'
 USD_RATE = r'"currency"\s*:\s*"USD"\s*,\s*"rate"\s*:\s*([0-9.]+)'
 LIST_ITEM = r"(?is)<li[^>]*>(.*?)</li>"
 HREF = r"(?i)href=['\"]([^'\"]*)['\"]"
@@ -39,6 +45,11 @@ CRAWL_DELAY = r"(?i)crawl-delay:\s*(\d+)"
 EVENT = "event_type string, event_name string, event_detail string"
 
 
+def at_host(pattern: str, host: str | None) -> str:
+    """``pattern`` for one host, or for any."""
+    return pattern.replace("{host}", re.escape(host) if host else ANY_HOST)
+
+
 def first_of(body: Column, patterns: list[str]) -> Column:
     return F.coalesce(*[found(body, p) for p in patterns])
 

@@ -29,13 +29,18 @@ def length_ratio(a: Column, b: Column) -> Column:
     return F.least(F.length(a), F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
-def edit_similarity(a: Column, b: Column, guard: float) -> Column:
+def edit_similarity(a: Column, b: Column, guard: float, threshold: float = 0.0) -> Column:
     """1 - edit distance / longer length of normalised names; zero below the length ratio ``guard``, one for equals.
 
-    The cheap tests stand before the distance, which is computed only where they leave it open.
+    The cheap tests stand before the distance, which is computed only where they leave it open; with a ``threshold``,
+    similarities below it may come out as anything smaller.
     """
     longer = F.greatest(F.length(a), F.length(b))
-    return F.when(a == b, 1.0).when(length_ratio(a, b) < guard, 0.0).otherwise(1.0 - F.levenshtein(a, b) / longer)
+    distance = F.levenshtein(a, b)
+    if threshold:
+        most = F.floor(longer * (1 - threshold) + 1e-9).cast("int")
+        distance = F.pmod(F.call_function("levenshtein", a, b, most), F.lit(1 << 30))  # -1, for more than ``most``, as something large
+    return F.when(a == b, 1.0).when(length_ratio(a, b) < guard, 0.0).otherwise(1.0 - distance / longer)
 
 
 def title_similarity(a: Column, b: Column, guard: float = 0.3) -> Column:

@@ -71,23 +71,33 @@ def rename_canonical(rows: DataFrame, names: DataFrame) -> DataFrame:
     return joined.withColumn("merged", F.col("canonical").isNotNull()).withColumn("movie_name", F.coalesce("canonical", "movie_name")).drop("_k", "_d", "canonical")
 
 
+#: Names of one block are spread over so many tasks.
+SPREAD = 64
+
+
 def best_by_name(left: DataFrame, right: DataFrame, left_name: str, right_name: str, block: list[str], guard: float, threshold: float, keep: list[str]) -> DataFrame:
     """For each left row the most similar right name of its block, if similar enough.
 
-    Without a block column, names are blocked by the length band that the guard allows: candidates must have between
-    guard and 1 / guard times the length, so bands of a factor of two need to meet their neighbours only.
+    Different normalised names meet once, and only where their lengths allow the threshold: as many edits as the lengths
+    differ by are needed at least. A distance is computed up to what the threshold allows. Within a block and length,
+    left names are spread over tasks and right names go to each of them.
     """
     a = left.withColumn("_a", normalize_name(F.col(left_name)))
-    b = right.withColumn("_b", normalize_name(F.col(right_name)))
-    if block:
-        rows = a.join(b, block)
-    else:
-        band = lambda c: F.floor(F.log2(F.length(c) + F.lit(1))).cast("int")
-        reach = int(-(-1 // guard)).bit_length()
-        a = a.withColumn("_band", F.explode(F.sequence(band(F.col("_a")) - reach, band(F.col("_a")) + reach)))
-        rows = a.join(b.withColumn("_band", band(F.col("_b"))), "_band").drop("_band")
-    rows = rows.withColumn("score", sim.edit_similarity(F.col("_a"), F.col("_b"), guard)).where(F.col("score") >= threshold)
-    return top_one(rows, keep, F.desc("score"), F.asc(right_name)).select(*keep, right_name, "score")
+    names = right.withColumn("_b", normalize_name(F.col(right_name))).groupBy(*block, "_b").agg(F.min(right_name).alias(right_name))
+    ratio = max(guard, threshold)
+    n = F.length("_a")
+    lengths = F.sequence(F.ceil(n * ratio - 1e-9).cast("int"), F.floor(n / ratio + 1e-9).cast("int"))
+    distinct = a.select(*block, "_a").distinct().select("*", F.explode(lengths).alias("_n"), F.pmod(F.xxhash64("_a"), F.lit(SPREAD)).cast("int").alias("_task"))
+    names = names.select("*", F.length("_b").alias("_n"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_task"))
+    # a given number of partitions, as few bytes make much work here and Spark would put them into one task
+    session = left.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    rows = distinct.repartition(tasks, *block, "_n", "_task").join(names, [*block, "_n", "_task"])
+    # numbered rows keep the filter behind the score, which would otherwise be computed twice
+    rows = rows.withColumn("score", sim.edit_similarity(F.col("_a"), F.col("_b"), guard, threshold)).withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.where((F.col("score") >= threshold) & (F.col("_row") >= 0)).drop("_row")
+    best = top_one(rows, [*block, "_a"], F.desc("score"), F.asc(right_name)).select(*block, "_a", right_name, "score")
+    return a.join(best, [*block, "_a"]).select(*keep, right_name, "score")
 
 
 def compatible_years(a: Column, b: Column) -> Column:
