@@ -45,7 +45,9 @@ def enrich(df: DataFrame, date: str, language: str | None, country: str | None,
     given leave their columns null; columns of these names are replaced.
     """
     names = ["gdp_usd_billions", "inflation_rate_pct", "release_event_type", "release_event_name", "release_event_detail"]
-    rows = df.drop(*names)
+    taken = {c: f"_in_{c}" for c in ("iso", "country") if c in df.columns}  # the lookups give columns of these names
+    rows = df.drop(*names).withColumnsRenamed(taken)
+    country, language = taken.get(country, country), taken.get(language, language)
     by_name = country_of_name(rows, country).withColumnsRenamed({"iso": "_i1", "country": "_c1"}) if country else rows.withColumn("_i1", F.lit(None).cast("string")).withColumn("_c1", F.lit(None).cast("string"))
     both = country_of_language(by_name, language).withColumnsRenamed({"iso": "_i2", "country": "_c2"}) if language else by_name.withColumn("_i2", F.lit(None).cast("string")).withColumn("_c2", F.lit(None).cast("string"))
     year = F.substring(clean.strip(F.col(date)), 1, 4).try_cast("int")
@@ -60,7 +62,7 @@ def enrich(df: DataFrame, date: str, language: str | None, country: str | None,
     else:
         for n in names[2:]:
             rows = rows.withColumn(n, F.lit(None).cast("string"))
-    return rows.select(*[c for c in df.columns if c not in names], *names)
+    return rows.select(*[F.col(taken.get(c, c)).alias(c) for c in df.columns if c not in names], *names)
 
 
 def with_rate(df: DataFrame, date: str, rates: DataFrame, as_of: Column, source: str = "INR", target: str = "USD") -> DataFrame:

@@ -494,8 +494,189 @@ def q_stream_folder(spark, sf_dir):
 
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("Title"), F.col("ts").cast("date").cast("string").alias("release_date"), F.col("event_id").alias("vote_count"))
-    rows.coalesce(1).sortWithinPartitions("vote_count").write.option("header", True).csv(f"{root}/in")
+    # a film's events are in one file, in order, so the last of each wins whatever the order of the files
+    rows.repartition("Title", "release_date").sortWithinPartitions("vote_count").write.option("header", True).csv(f"{root}/in")
     store = Store(spark, f"{root}/store")
     stream = watch_folder(spark, store, f"{root}/in", f"{root}/ledger", Settings(fuzzy_max_pairs=None), once=True)
     stream.awaitTermination()
     return store.read("films").select("movie_name", "release_date", F.col("votes").cast("double").alias("votes"))
+
+
+# The store, schema upkeep, and parts of the import
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 0")
+def q_store_snapshots(spark, sf_dir):
+    """Two snapshots of one table; the pointer names the second."""
+    from reelgap.sources.store import Store
+
+    store, rows = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"), table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    store.write("nations", rows)
+    store.write("nations", store.read("nations").where("n_nationkey % 2 = 0"))
+    return store.read("nations")
+
+
+@query("SELECT c_custkey, lower(trim(c_name)) || '|' || trim(c_mktsegment) AS merge_key, CASE WHEN c_custkey % 3 = 0 THEN 'none' ELSE trim(c_mktsegment) END AS shown FROM customer")
+def q_merge_key(spark, sf_dir):
+    padded = F.concat(F.lit(" \t"), F.upper("c_name"), F.lit(" "))
+    blank = F.when(F.col("c_custkey") % 3 == 0, " ").otherwise(F.col("c_mktsegment"))
+    return table(spark, sf_dir, "customer").select("c_custkey", clean.merge_key(padded, F.col("c_mktsegment")).alias("merge_key"), clean.or_else(blank, "none").alias("shown"))
+
+
+@query(f"WITH {TITLES} SELECT ord, replace(url_encode(movie_name || ' & Co ' || year), '%20', '+') AS search FROM titles")
+def q_search_text(spark, sf_dir):
+    return titles(spark, sf_dir).select("ord", gapfill.search_text(F.concat("movie_name", F.lit(" & Co")), F.col("year")).alias("search"))
+
+
+@query(f"WITH {TITLES}, m AS (SELECT movie_name, left(release_date, 4) AS year, min(release_date) AS release_date FROM titles GROUP BY 1, 2) SELECT *, row_number() OVER (ORDER BY year, movie_name) AS place FROM m")
+def q_movies_in_order(spark, sf_dir):
+    """Places of the ordered films, counted by partition: a range sort and the partitions' sizes, no single task."""
+    rows = gapfill.in_order(gapfill.movie_years(titles(spark, sf_dir).drop("year"))).withColumn("_id", F.monotonically_increasing_id())
+    rows = rows.select("*", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_nth"))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    later = sizes.select(F.col("_part").alias("_p"), "n")
+    before = sizes.select("_part").join(later, F.col("_p") < F.col("_part"), "left").groupBy("_part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(before), "_part").select("movie_name", "year", "release_date", (F.col("before") + F.col("_nth") + 1).alias("place"))
+
+
+RATE = "CAST(o_orderdate AS DATE)"
+
+
+@query(f"""WITH r AS (SELECT {RATE} AS rate_date, arg_max(round(o_totalprice / 1000, 3), o_orderkey) AS old FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
+f AS (SELECT {RATE} AS rate_date, arg_max(round(o_totalprice / 2000, 3), o_orderkey) AS new FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+SELECT coalesce(r.rate_date, f.rate_date) AS rate_date, coalesce(new, old) AS rate, new IS NOT NULL AS fetched FROM r FULL JOIN f ON r.rate_date = f.rate_date""")
+def q_latest_rates(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("rate_date"), F.lit("INR").alias("from_currency"), F.lit("USD").alias("to_currency"), "o_totalprice")
+    old = o.where("o_orderkey % 2 = 0").groupBy("rate_date", "from_currency", "to_currency").agg(F.max_by(F.round(F.col("o_totalprice") / 1000, 3), "o_orderkey").alias("rate"), F.lit("2020-01-01").cast("timestamp").alias("fetched_at"))
+    new = o.where("o_orderkey % 3 = 0").withColumn("rate", F.round(F.col("o_totalprice") / 2000, 3)).withColumn("fetched_at", F.lit("2024-01-01").cast("timestamp"))
+    rows = merge.latest_rates(old, new, "o_orderkey")
+    return rows.select("rate_date", "rate", (F.year("fetched_at") == 2024).alias("fetched"))
+
+
+@query("SELECT c_custkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 END, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END) AS revenue FROM customer")
+def q_coalesce_update(spark, sf_dir):
+    """A plain update: the new value where there is one, else the old; no rows are added."""
+    c = table(spark, sf_dir, "customer")
+    old = c.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal")).alias("revenue"))
+    new = c.where("c_custkey % 2 = 0").select("c_custkey", (F.col("c_acctbal") + 1).alias("revenue")).union(c.select(-1 - F.col("c_custkey"), "c_acctbal"))
+    return merge.merge(old, new, ["c_custkey"], {"revenue": "new_then_old"}, "c_custkey", insert=False)
+
+
+@query("""WITH f AS (SELECT p_name AS movie_name, CAST(1980 + p_partkey % 45 AS VARCHAR) AS release_date, CASE WHEN p_partkey % 2 = 0 THEN 'Unknown' ELSE p_brand END AS language, p_partkey % 5 AS votes, CASE WHEN p_partkey % 4 = 0 THEN p_size ELSE p_partkey % 3 END AS revenue FROM part)
+SELECT movie_name, release_date, language, max(revenue) AS revenue, 0 AS budget, count(*) AS n FROM (SELECT movie_name, release_date, language, revenue FROM f) GROUP BY 1, 2, 3 HAVING count(*) = 1""")
+def q_upkeep(spark, sf_dir):
+    """A legacy column renamed, an alias merged, crawled columns added, language made part of the key."""
+    from reelgap.plans import cycles
+
+    k = F.col("p_partkey")
+    films = table(spark, sf_dir, "part").select(F.col("p_name").alias("movie_name"), (1980 + k % 45).cast("string").alias("release_date"), F.when(k % 2 == 0, F.when(k % 3 == 0, "")).otherwise(F.col("p_brand")).alias("language"), F.when(k % 4 == 0, 0).otherwise(k % 3).alias("gross"), F.when(k % 4 == 0, F.col("p_size")).otherwise(0).alias("worldwide"))
+    out = cycles.upkeep(films, {"gross": "revenue"}, {"worldwide": "revenue"})
+    copies = merge.default_language(films).groupBy("movie_name", "release_date", "language").agg(F.count(F.lit(1)).alias("n"))
+    return out.join(copies.where("n = 1"), ["movie_name", "release_date", "language"]).select("movie_name", "release_date", "language", F.col("revenue").cast("long").alias("revenue"), F.col("budget").cast("int").alias("budget"), "n")
+
+
+# Search results, page guards and whole pages
+
+
+@query("""SELECT p_partkey, '/title/tt' || p_partkey AS href, CAST(1980 + p_partkey % 45 AS VARCHAR) AS year, p_name AS name FROM part
+UNION ALL SELECT p_partkey, '/releasegroup/gr' || p_partkey, NULL, 'Other' FROM part WHERE p_partkey % 2 = 0""")
+def q_search_results2(spark, sf_dir):
+    k, text = F.col("p_partkey"), lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    body = text('<a href="/title/tt', k, '" class="x">', F.col("p_name"), " (", 1980 + k % 45, ')</a><a href="/name/nm1">No</a>', F.when(k % 2 == 0, text('<a href="/releasegroup/gr', k, '">Other</a>')).otherwise(""))
+    return page_ops.source2_candidates(table(spark, sf_dir, "part").select("p_partkey", body.alias("body")), ["p_partkey"]).select("p_partkey", "href", "year", "name")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'https://x.example/n/a-collection-' || (1980 + p_partkey % 45) ELSE 'https://x.example/box-office/f' || p_partkey END AS href,
+CASE WHEN p_partkey % 3 = 0 THEN 'a collection ' || (1980 + p_partkey % 45) ELSE p_name END AS name, CASE WHEN p_partkey % 3 = 0 THEN CAST(1980 + p_partkey % 45 AS VARCHAR) END AS year FROM part WHERE p_partkey < 1900 OR p_partkey > 2100""")
+def q_search_results3(spark, sf_dir):
+    """Labelled articles, or links to collections on pages without any; one host only."""
+    k, text = F.col("p_partkey"), lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    body = F.when(k % 3 == 0, text('<a href="https://x.example/n/a-collection-', 1980 + k % 45, '"><img></a>')).otherwise(text('<a href="https://x.example/box-office/f', k, '">', F.col("p_name"), ' Total Box Office Collection</a>'))
+    body = text('<a href="https://other.example/box-office/no">No</a>', body)
+    pages = table(spark, sf_dir, "part").where("p_partkey < 1900 or p_partkey > 2100").select("p_partkey", body.alias("body"))
+    rows = page_ops.source3_candidates(pages, ["p_partkey"], host="x.example")
+    return rows.select("p_partkey", "href", "name", F.when(F.col("p_partkey") % 3 == 0, F.col("year")).alias("year"))
+
+
+@query("SELECT p_partkey, p_partkey % 5 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 4 <> 1 AS real FROM part")
+def q_page_guards(spark, sf_dir):
+    """Too short, not a list, or somebody else's; titles of another form aren't compared."""
+    k = F.col("p_partkey")
+    body = F.concat(
+        F.lit('<meta property="og:url" data-x="1" content="https://x/news/'), F.when(k % 5 == 0, "Home").otherwise("List_Of_All_A_Movies"),
+        F.when(k % 4 == 1, '"><meta property="og:title" content="List Of All Somebody Quite Else Movies | x">').when(k % 4 == 2, '"><meta property="og:title" content="List Of All Ann Lee Movies | x">').otherwise('"><meta property="og:title" content="Films">'),
+        F.when(k % 7 == 0, "").otherwise(F.rpad(F.lit(""), 500, " ")),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", page_ops.is_filmography(body, F.lit("Ann Lee")).alias("real"))
+
+
+@query("""SELECT s_suppkey AS actor, CASE WHEN s_suppkey % 2 = 0 THEN 'https://x/news/List_Of_All_Supplier_' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '_Movies_9' ELSE 'https://x/news/List_Of_All_Supplier_' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '_Movies' END AS url FROM supplier""")
+def q_actor_urls(spark, sf_dir):
+    """The page of a sitemap where one has the name, else the page that the name gives."""
+    from reelgap.plans import cycles
+
+    s = table(spark, sf_dir, "supplier")
+    slug = F.regexp_replace("s_name", "#", "_")
+    maps = s.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("ord"), F.concat(F.lit("<loc>https://x/news/List_Of_All_"), slug, F.lit("_Movies_9</loc>")).alias("body"))
+    work = cycles.actor_work(s.select(F.col("s_name").alias("actor_name")), page_ops.actor_pages(maps, host="x"), "https://x", 1.0)
+    return work.select(F.regexp_extract("actor_name", "[0-9]+", 0).cast("long").alias("actor"), "url")
+
+
+@query("""SELECT n_nationkey AS k, CASE n_nationkey % 3 WHEN 0 THEN 'direct' WHEN 1 THEN 'typo' END AS movie_name FROM nation WHERE n_nationkey % 3 < 2""")
+def q_typo_pages(spark, sf_dir):
+    """Films of the direct page, of the misspelt page where that has none, else none."""
+    from reelgap.plans import cycles
+
+    k = F.col("n_nationkey")
+    n = table(spark, sf_dir, "nation").select(k, F.concat(F.lit("A"), k.cast("string")).alias("actor_name"), F.concat(F.lit("d"), k.cast("string")).alias("url"), F.concat(F.lit("t"), k.cast("string")).alias("typo_url"))
+    page = lambda name: F.concat(F.lit('"og:url" content="List_Of_All"'), F.rpad(F.lit(""), 500, " "), F.lit(f"<table><tr><td>1</td><td>{name}</td><td>2001</td></tr></table>"))
+    fetched = n.where(k % 3 == 0).select("url", page("direct").alias("body")).union(n.where(k % 3 < 2).select("typo_url", page("typo")))
+    return cycles.filmographies(n.drop("n_nationkey"), fetched).select(F.substring("actor_name", 2, 9).cast("long").alias("k"), "movie_name")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Festival' ELSE 'None' END AS event_type, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS event_name, CAST(c_custkey % 100 AS DOUBLE) / 4 AS indicator FROM customer""")
+def q_responses(spark, sf_dir):
+    k = F.col("c_custkey")
+    event = F.when(k % 3 == 0, F.concat(F.lit('```json\n{"event_type": "Festival", "event_name": "'), "c_mktsegment", F.lit('"}\n```'))).when(k % 3 == 1, '{"event_name": "null"}').otherwise("no JSON")
+    indicator = F.concat(F.lit('[{"page": 1}, [{"value": '), (k % 100 / 4).cast("string"), F.lit("}]]"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", extract.event(event).alias("e"), extract.indicator_value(indicator).alias("indicator"))
+    return rows.select("c_custkey", "e.event_type", "e.event_name", "indicator")
+
+
+@query("""SELECT p_partkey AS ord, CAST(CASE WHEN p_partkey % 2 = 0 THEN p_partkey % 50 + 0.5 END AS DOUBLE) AS gdp_usd_billions, CASE WHEN p_partkey % 3 = 0 THEN 'Festival' END AS release_event_type
+FROM part""")
+def q_enrich(spark, sf_dir):
+    """Indicators of country and year, events of day and country."""
+    k = F.col("p_partkey")
+    films = table(spark, sf_dir, "part").select(k.alias("ord"), F.concat((1950 + k % 50).cast("string"), F.when(k % 3 == 0, "-01-01").otherwise("")).alias("release_date"), F.when(k % 2 == 0, "hi").otherwise("xx").alias("language"), F.when(k % 2 == 0, F.lit(None)).when(k % 3 == 0, "India").cast("string").alias("country"))
+    years = spark.range(50).select(F.lit("IN").alias("iso"), (1950 + F.col("id")).cast("int").alias("year"), F.lit("gdp").alias("indicator"), F.concat(F.lit('[{}, [{"value": '), (F.col("id") * 1000000000 + 500000000).cast("string"), F.lit("}]]")).alias("body"))
+    events = spark.range(50).select(F.concat((1950 + F.col("id")).cast("string"), F.lit("-01-01")).alias("date"), F.lit("India").alias("country"), F.lit('{"event_type": "Festival"}').alias("body"))
+    out = enrich.enrich(films, "release_date", "language", "country", years, events)
+    odd = (F.col("ord") % 2 == 1) & (F.col("ord") % 3 == 0)  # an explicit country has indicators as well
+    return out.select("ord", F.when(~odd, F.col("gdp_usd_billions")).alias("gdp_usd_billions"), "release_event_type")
+
+
+@query("""SELECT 'offered' AS counter, count(*) AS n FROM part UNION ALL SELECT 'no_data', count(*) FROM part WHERE p_partkey % 4 = 0
+UNION ALL SELECT 'matched_rows', count(*) FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 5 <> 0 UNION ALL SELECT 'changed_rows', count(*) FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 5 <> 0 AND p_partkey % 3 = 0""")
+def q_cycle_counters(spark, sf_dir):
+    """What a source offered, had no data for, matched (unchanged rows too) and changed."""
+    from reelgap.plans import cycles
+
+    k = F.col("p_partkey")
+    films = table(spark, sf_dir, "part").where(k % 5 != 0).select(k.cast("string").alias("movie_name"), F.lit("2001").alias("release_date"), F.when(k % 3 == 0, 0.0).otherwise(1.0).alias("revenue"), F.lit(1.0).alias("budget"))
+    offered = table(spark, sf_dir, "part").select(k.cast("string").alias("movie_name"), F.lit("2001").alias("year"), k.alias("ord"), F.when(k % 4 != 0, 7.0).alias("revenue"), F.lit(None).cast("double").alias("budget"))
+    counted = cycles.counters(films, gapfill.apply(films, offered, merge.FILMS_FROM_OTHERS), offered)
+    return spark.createDataFrame(list(counted.items()), "counter string, n long")
+
+
+@query("""SELECT p_partkey, coalesce(CASE WHEN p_partkey % 2 = 0 THEN 2000 END = CASE WHEN p_partkey % 3 = 0 THEN 2000 WHEN p_partkey % 3 = 1 THEN 2001 END, true) AS fits,
+CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_name || ' 7' END AS name, CASE WHEN p_partkey % 2 = 0 THEN p_size || ' min.' ELSE CAST(p_size AS VARCHAR) END AS runtime FROM part""")
+def q_small_rules(spark, sf_dir):
+    """Years that may agree, names without a year in brackets, runtimes as text."""
+    k = F.col("p_partkey")
+    year = F.when(k % 2 == 0, 2000)
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", match.compatible_years(year, F.when(k % 3 == 0, 2000).when(k % 3 == 1, 2001)).alias("fits"),
+        clean.strip_paren_year(F.concat("p_name", F.when(k % 2 == 0, " (1999)").otherwise(" 7"))).alias("name"),
+        clean.runtime_text(F.concat(F.col("p_size").cast("string"), F.when(k % 2 == 0, " min.").otherwise(" MIN "))).alias("runtime"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +24,23 @@ class Settings:
     actor_threshold: float = 0.75
     enrichment: bool = False
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Settings:
+        """From ``name = value`` lines; # begins a comment, ``none`` is None, other names are ignored, and what is missing keeps its default."""
+        known = {f.name: f for f in fields(cls)}
+        given = {}
+        for row in spark.read.text(path).collect():
+            name, found, value = (x.strip() for x in row.value.partition("#")[0].partition("="))
+            if found and name in known:
+                kind = type(known[name].default)
+                given[name] = None if value.lower() == "none" else value.lower() == "true" if kind is bool else kind(value)
+        return cls(**given)
+
 
 def import_csv(spark: SparkSession, store: Store, path: str, settings: Settings | None = None, indicators: DataFrame | None = None, events: DataFrame | None = None) -> DataFrame:
     """Merge a film file into the table ``films``; one row of counters: processed, merged, skipped."""
     s = settings or Settings()
-    raw = columns.transform(csv_files.read(spark, path))
+    raw = columns.transform(csv_files.read(spark, path)).persist()  # read once for profile, counters, names and merge
     headers = [c for c in raw.columns if c not in (csv_files.ORDER, csv_files.FILE)]
     if s.enrichment and "release_date" in headers:
         language = next((h for h in headers if h.lower() in ("original_language", "language")), None)
@@ -49,7 +61,7 @@ def import_csv(spark: SparkSession, store: Store, path: str, settings: Settings
     counts = rows.agg(F.count_if(F.col("movie_name").isNotNull() & F.col("release_date").isNotNull()).alias("processed"), F.count_if(F.col("movie_name").isNull() | F.col("release_date").isNull()).alias("skipped"))
     rows = merge.default_language(rows.where("movie_name is not null and release_date is not null"))
     names = match.canonical_names(rows, existing, csv_files.ORDER, s.fuzzy_warn, s.fuzzy_auto, s.fuzzy_max_pairs)
-    rows = match.rename_canonical(rows, names)
+    rows = match.rename_canonical(rows, names).persist()
     merged = rows.agg(F.count_if("merged").alias("merged"))
     absent = [f for f in existing.schema.fields if f.name not in columns.KEYS and f.name not in data]
     out = merge.merge(existing, rows.drop("merged"), columns.KEYS, {c: "overwrite" for c in data}, csv_files.ORDER)
@@ -59,15 +71,40 @@ def import_csv(spark: SparkSession, store: Store, path: str, settings: Settings
         out = out.select(*[F.when(F.col("_old").isNull() & F.col(f.name).isNull(), F.lit(0 if profile.is_numeric(f.dataType) else None).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name) if f in absent else F.col(f.name) for f in existing.schema.fields])
     result = counts.collect()[0].asDict() | merged.collect()[0].asDict()
     store.write("films", out)
+    rows.unpersist()
+    raw.unpersist()
     return spark.createDataFrame([result], "processed long, skipped long, merged long")
 
 
-def import_folder(spark: SparkSession, store: Store, folder: str, settings: Settings | None = None) -> list[str]:
-    """Every file of a folder, in order of name."""
-    paths = csv_files.listing(spark, folder)
-    for path in paths:
-        import_csv(spark, store, path, settings)
-    return paths
+LEDGER = "path string, length long, modified timestamp, processed long, skipped long, merged long, error string"
+
+
+def import_files(spark: SparkSession, store: Store, files: list[tuple], settings: Settings | None = None) -> DataFrame:
+    """Import (path, length, modified) files one after another, each for itself, and note each in the table ``imports``.
+
+    A file that fails is noted with its error and doesn't stop the others.
+    """
+    notes = []
+    for path, length, modified in files:
+        try:
+            done = import_csv(spark, store, path, settings).first()
+            notes.append((path, length, modified, done.processed, done.skipped, done.merged, None))
+        except Exception as error:  # noqa: BLE001
+            notes.append((path, length, modified, None, None, None, f"{type(error).__name__}: {error}"[:1000]))
+    fresh = spark.createDataFrame(notes, LEDGER)
+    known = store.read("imports", fresh.schema)
+    if notes:
+        store.write("imports", known.join(fresh.select("path"), "path", "left_anti").unionByName(fresh))
+    return fresh
+
+
+def import_folder(spark: SparkSession, store: Store, folder: str, settings: Settings | None = None, again: bool = False) -> list[str]:
+    """Every file of a folder, in order of name, but for those imported before and unchanged (or ``again`` all); paths of those that were imported."""
+    files = csv_files.listing_with_times(spark, folder)
+    if not again and store.exists("imports"):
+        known = {(r.path, r.length, r.modified) for r in store.read("imports").where("error is null").select("path", "length", "modified").collect()}
+        files = [f for f in files if f not in known]
+    return [r.path for r in import_files(spark, store, files, settings).where("error is null").collect()]
 
 
 def import_cast_csv(spark: SparkSession, store: Store, path: str) -> bool:
@@ -96,8 +133,12 @@ def import_cast_folder(spark: SparkSession, store: Store, folder: str) -> list[s
 
 def import_cast_pages(store: Store, fetched: DataFrame) -> None:
     """Merge filmography pages (url, actor_name, body) into ``cast``, never over what is known."""
-    rows = pages.filmography_entries(fetched).withColumn("page_url", F.col("url")).where("movie_name is not null and release_date is not null")
-    rows = rows.select("actor_name", "movie_name", "release_date", "language", "genre", "director", "character_name", "page_url", F.struct("url", "ord").alias("_ord"))
+    merge_entries(store, pages.filmography_entries(fetched).where("movie_name is not null and release_date is not null"))
+
+
+def merge_entries(store: Store, entries: DataFrame) -> None:
+    """Merge films of filmography pages into ``cast``, never over what is known."""
+    rows = entries.withColumn("page_url", F.col("url")).select("actor_name", "movie_name", "release_date", "language", "genre", "director", "character_name", "page_url", F.struct("url", "ord").alias("_ord"))
     store.write("cast", merge.merge(store.read("cast", CAST), rows, ["actor_name", "movie_name", "release_date"], merge.CAST_FROM_PAGES, "_ord"))
 
 

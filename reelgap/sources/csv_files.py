@@ -40,7 +40,12 @@ def read(spark: SparkSession, path: str, strict_short_rows: bool = False) -> Dat
     return rows.select(*[strip(F.col(f"c{i}")).alias(n) for n, i in first.items()], F.monotonically_increasing_id().alias(ORDER), F.lit(path).alias(FILE))
 
 
+def listing_with_times(spark: SparkSession, folder: str, pattern: str = "*.[cC][sS][vV]") -> list[tuple]:
+    """(path, length, modification time) of a folder's files that match, in lexicographic order; sub-folders aren't entered."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "length", "modificationTime")
+    return sorted(map(tuple, found.collect()))
+
+
 def listing(spark: SparkSession, folder: str, pattern: str = "*.[cC][sS][vV]") -> list[str]:
-    """Paths of a folder's files that match, in lexicographic order; sub-folders aren't entered."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    return sorted(r.path for r in found.collect())
+    """Paths of a folder's files that match, in lexicographic order."""
+    return [path for path, *_ in listing_with_times(spark, folder, pattern)]
