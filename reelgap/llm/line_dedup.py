@@ -132,7 +132,8 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_row, _lines: of the text, _kept: the places of the lines that stay."""
     keyed = _keyed(docs)
     gone = repeated_runs(keyed, Scratch(docs.sparkSession, "line_dedup"), min_words)
-    rows = keyed.join(gone, "_key", "left").withColumn("_lines", F.split("_text", "\n"))
+    # the same plan at every size
+    rows = keyed.join(gone.hint("merge"), "_key", "left").withColumn("_lines", F.split("_text", "\n"))
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
     return rows.select("_row", "_text", "_lines", F.coalesce(F.array_except(every, F.col("_gone")), every).alias("_kept"))
 

@@ -21,6 +21,8 @@ WHITE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 BUCKETS = 1 << 14
 #: Raw n-grams that count as trusted, a bucket: 10 give unlabelled text of the same kind the same verdicts at all sizes.
 PRIOR = 10
+#: Ids of trusted documents that are broadcast at most.
+BROADCAST = 2_000_000
 #: A document goes if its n-grams are on average this much (in nats) likelier in the raw corpus than in trusted text.
 THRESHOLD = -0.08
 
@@ -51,13 +53,19 @@ def hashed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_words", words(F.col("_text"))).select("_row", "_text", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
 
 
+def _joinable(ids: DataFrame) -> DataFrame:
+    """``ids`` for a join: broadcast if they are BROADCAST at most (16 bytes each), else joined by shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST else ids
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS, prior: int = PRIOR) -> list[float]:
     """log(trusted / raw) of each bucket; zeros without trusted documents and for buckets that no n-gram falls in.
 
     All ``docs`` count as raw. Trusted are all that ``labels`` calls good and not toxic, together with ``prior`` n-grams
     a bucket, on average, that are spread like the raw ones: with little trusted text the ratios are near zero.
     """
-    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("_trusted", F.lit(1))
+    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()
+    ids = _joinable(ids).withColumn("_trusted", F.lit(1))
     grams = hashed(docs).select(F.col("_row.doc_id").cast("long").alias("_id"), buckets(F.col("_hashes"), n).alias("_grams"))
     grams = grams.join(ids, "_id", "left").select(F.explode_outer("_grams").alias("_gram"), "_trusted")
     counts = grams.where("_gram is not null").groupBy("_gram").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # n rows at most

@@ -93,3 +93,11 @@ def test_little_trusted_text_rejects_little(spark):
         kept = {r.doc_id for r in rules.measures(docs, rules.log_ratios(docs, labels)).collect() if r.kept}
         assert len(kept & {i for i in range(400) if i % 10 != 9}) >= 350
     assert not kept & {i for i in range(400) if i % 10 == 9}
+
+
+def test_ids_beyond_the_broadcast_bound_are_joined_by_shuffle(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i % 7} other") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 200, 3)], "doc_id long, quality int, toxic int")
+    want = rules.log_ratios(docs, labels, n=64)
+    monkeypatch.setattr(rules, "BROADCAST", 0)
+    assert rules.log_ratios(docs, labels, n=64) == want
