@@ -24,7 +24,7 @@ def sample():
 def plain(rows):
     """What the filtering stages keep, by brute force, where the n-gram ratios reject nothing."""
     rows = [(i, t) for i, t, *_ in rows if not test_quality_rules.brute(t)[-1]]
-    gone = test_line_dedup.brute(rows, 50)
+    gone = test_line_dedup.maximal(rows, 50)
     cut = [(r[0], "\n".join(x for k, x in enumerate(r[1].split("\n")) if k not in gone[r])) for r in rows]
     rows = [c for c, r in zip(cut, rows, strict=True) if not gone[r] or c[1].strip()]
     kept = test_near_dup.brute(rows, 5, 80)
