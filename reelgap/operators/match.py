@@ -34,16 +34,29 @@ def exact_matches(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.groupBy("movie_name", "release_date").agg(F.min("canonical").alias("canonical"))
 
 
+def _openers(side: DataFrame, name: str, counts: DataFrame, least: float) -> DataFrame:
+    """A row of ``side`` for each gram that a set at least ``least`` alike must share one of, rarest first."""
+    grams = side.select(name, "release_date", F.explode(f"_{name}").alias("_gram")).join(counts, "_gram", "left")
+    order = F.sort_array(F.collect_list(F.struct(F.coalesce("_count", F.lit(0)).alias("n"), F.col("_gram").alias("g"))))
+    n = F.size("_all")
+    named = grams.groupBy(name, "release_date").agg(order.alias("_all"))
+    named = named.withColumn(f"_{name}", F.col("_all")["g"])
+    return named.select(name, "release_date", f"_{name}", F.explode(F.slice(F.col("_all")["g"], 1, (n - F.ceil(n * least - 1e-9) + 1).cast("int"))).alias("_gram"))
+
+
 def trigram_matches(incoming: DataFrame, stored: DataFrame, warn: float = 0.75, auto: float = 0.93, ratio: float = 0.70) -> DataFrame:
     """(movie_name, release_date, canonical, similarity, tier) of the most similar stored name of the same date.
 
     The filter takes the similarity as it is, the tier takes it rounded to three places. Trigrams are made once per
-    name, before the join.
+    name, before the join. Two sets that are ``warn`` alike share one of the first grams of both in any one order, so
+    names meet on a date and such a gram; grams stand in order of rarity, and ``warn`` has to be above zero.
     """
     side = lambda df, name: df.select(F.col("movie_name").alias(name), "release_date", sim.trigrams(F.col("movie_name")).alias(f"_{name}")).distinct()
-    rows = side(incoming, "movie_name").join(side(stored, "canonical"), "release_date")
-    a, b = strip(F.col("movie_name")), strip(F.col("canonical"))
-    rows = rows.where((sim.length_ratio(a, b) >= ratio) & (F.lower(a) != F.lower(b)))
+    coming, known = side(incoming, "movie_name"), side(stored, "canonical")
+    counts = known.select(F.explode("_canonical").alias("_gram")).groupBy("_gram").agg(F.count(F.lit(1)).alias("_count"))
+    rows = _openers(coming, "movie_name", counts, warn).join(_openers(known, "canonical", counts, warn), ["release_date", "_gram"])
+    a, b, m, n = strip(F.col("movie_name")), strip(F.col("canonical")), F.size("_movie_name"), F.size("_canonical")
+    rows = rows.where((F.least(m, n) >= F.greatest(m, n) * warn - 1e-9) & (sim.length_ratio(a, b) >= ratio) & (F.lower(a) != F.lower(b)))
     rows = rows.withColumn("similarity", sim.trigram_overlap(F.col("_movie_name"), F.col("_canonical"))).where(F.col("similarity") >= warn)
     best = top_one(rows, ["movie_name", "release_date"], F.desc("similarity"), F.asc("canonical"))
     return best.select("movie_name", "release_date", "canonical", "similarity", F.when(F.round("similarity", 3) >= auto, "merge").otherwise("warn").alias("tier"))
