@@ -1,10 +1,10 @@
 """A quality classifier: naive Bayes support vectors over n-gram indicators.
 
-A text's features are the n-grams it has, hashed: its words, pairs of kinds of words, and four-grams over classes of
-characters (so shouting, bars and marks between words, or a word said again and again show in any language). An
-indicator is scaled by the log ratio of its counts in the two classes, and a linear model with hinge loss is fitted
-to the scaled indicators by dual coordinate descent. The fit sees a bounded sample of labelled rows; all rows are
-scored, over their whole texts.
+A text's features are the n-grams it has, hashed: its words, three flags in a row of whether a word repeats the one
+before, and four-grams over classes of characters (so shouting, bars and marks between words, or a word said again
+and again show in any language). An indicator is scaled by the log ratio of its counts in the two classes, and a
+linear model with hinge loss is fitted to the scaled indicators by dual coordinate descent. The fit sees a bounded
+sample of labelled rows; all rows are scored, over their whole texts.
 """
 
 from __future__ import annotations
@@ -138,8 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
 def classify(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted, for each row of ``docs``.
 
-    A null text is empty; empty texts are scored; a null doc_id stays null and isn't held out; repeated rows are
-    scored each; other columns are not read; an empty table gives no rows.
+    A null text is empty; empty texts are scored, and texts of any length whole; a null doc_id stays null and isn't
+    held out; repeated rows are scored each and equal scores stay equal; other columns are not read; an empty table
+    gives no rows.
     """
 
     def run(batches: Iterator) -> Iterator:

@@ -52,3 +52,37 @@ def test_odd_tables(spark):
     assert qc.classify(docs.limit(0), qc.train(docs.limit(0), labels)).count() == 0
     only = qc.train(docs, labels.where("quality = 1"))
     assert {r.predicted for r in qc.classify(docs, only).collect()} == {1}
+
+
+def test_fit_equals_a_plain_solver():
+    """Against dense indicators, ratios by their definition and accelerated projected gradients on the dual."""
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 90)
+    rows = [np.unique(np.r_[rng.integers(0, 40, 6), 50 + c if rng.random() < 0.7 else 52]) for c in y]
+    x = np.zeros((90, qc.DIMENSIONS))
+    for i, r in enumerate(rows):
+        x[i, r] = 1
+    good, bad = 1 + x[y == 1].sum(0), 1 + x[y == 0].sum(0)
+    ratio = np.log(good / good.sum()) - np.log(bad / bad.sum())
+    v = np.c_[(x * ratio)[:, :60] / np.sqrt(x.sum(1))[:, None], np.ones(90)]
+    z = v * np.where(y == 1, 1.0, -1.0)[:, None]
+    most = 0.1 * 90 / (2 * np.where(y == 1, (y == 1).sum(), (y == 0).sum()))
+    q = z @ z.T
+    step, a, ahead, t = 1 / np.linalg.eigvalsh(q)[-1], np.zeros(90), np.zeros(90), 1.0
+    for _ in range(5_000):
+        now, later = np.clip(ahead - step * (q @ ahead - 1), 0, most), (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead, a, t = now + (t - 1) / later * (now - a), now, later
+    want = v @ (a @ z)
+    model = qc.fit(rows, y, epochs=400)
+    got = [model["weights"][r].sum() / np.sqrt(len(r)) + model["offset"] for r in rows]
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_very_long_texts_are_scored_whole(spark):
+    long = "plain words of a story " * 50_000
+    ends = " SALE! SALE! | WIN | $$$"
+    model = {"weights": np.random.default_rng(1).normal(size=qc.DIMENSIONS), "offset": 0.0, "slope": 1.0, "intercept": 0.0}
+    docs = spark.createDataFrame([(1, long), (2, long + ends), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in qc.classify(docs, model).collect()}
+    want = [qc.score(model, qc.features([t.encode()]))[0] for t in (long, long + ends, "")]
+    assert [got[i] for i in (1, 2, 3)] == want and got[1] != got[2]
