@@ -101,3 +101,17 @@ def test_ids_beyond_the_broadcast_bound_are_joined_by_shuffle(spark, monkeypatch
     want = rules.log_ratios(docs, labels, n=64)
     monkeypatch.setattr(rules, "BROADCAST", 0)
     assert rules.log_ratios(docs, labels, n=64) == want
+
+
+def test_verdicts_equal_brute_force_where_ratios_decide(spark):
+    rng = random.Random(12)
+    ratios = [rng.gauss(0, 0.3) for _ in range(64)]
+    rows = [(i, " ".join(rng.choice("abcdefghijklmnop") + str(rng.randint(0, 40)) for _ in range(rng.randint(45, 200)))) for i in range(20)]
+    rows += [(80, rows[0][1] + " " + " ".join(map(str, range(2_000)))), (81, None), (82, rows[1][1]), (82, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = {r.doc_id: r.b for r in docs.select("doc_id", rules.buckets(F.transform(rules.words(F.col("text")), lambda w: F.xxhash64(w)), 64).alias("b")).collect()}
+    mean = {i: sum(ratios[b] for b in own[i]) / max(len(own[i]), 1) for i, _ in rows}
+    for threshold in (-0.02, 0.01):
+        got = sorted((r.doc_id, r.kept) for r in rules.measures(docs, ratios, threshold).collect())
+        assert got == sorted((i, not brute(t)[-1] and mean[i] >= threshold) for i, t in rows)
+        assert {k for _, k in got} == {True, False}
