@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgap.plans import cycles, imports
+from reelgap.sources.shared import ship_package
 from reelgap.sources.store import Store
 from reelgap.streaming.folder import watch_folder
 
@@ -43,6 +44,7 @@ def main(args: list[str] | None = None) -> None:
     films.add_argument("up_to", nargs="?")
     given = parser.parse_args(args)
     spark = SparkSession.builder.appName("reelgap").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    ship_package(spark)
     store = Store(spark, given.store)
     settings = imports.Settings.load(spark, given.settings) if given.settings else imports.Settings()
     if given.command == "import":

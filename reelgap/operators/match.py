@@ -6,11 +6,20 @@ smallest name, where the source system takes whatever comes first.
 
 from __future__ import annotations
 
+import functools
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelgap.functions import similarity as sim
 from reelgap.functions.clean import normalize_name, strip
+from reelgap.operators import nearest
 
 
 def top_one(rows: DataFrame, by: list[str], *order: Column) -> DataFrame:
@@ -84,28 +93,73 @@ def rename_canonical(rows: DataFrame, names: DataFrame) -> DataFrame:
     return joined.withColumn("merged", F.col("canonical").isNotNull()).withColumn("movie_name", F.coalesce("canonical", "movie_name")).drop("_k", "_d", "canonical")
 
 
-#: Names of one block are spread over so many tasks.
-SPREAD = 64
+#: Left and right names that one task compares at once, about; and left names of which a share is made while there are tasks for it.
+LEFT, RIGHT, SMALL = 1 << 14, 1 << 16, 1 << 10
+#: So few pairs, times the longer length, cost less to score one by one than to find the nearest of.
+FEW = 1 << 8
+
+
+def _by_length(names: list[str]) -> dict[int, tuple[np.ndarray, Callable[[], nearest.Trie]]]:
+    """For each length the places of its names, in order of the names, and what makes their trie, once."""
+    lengths, found = np.array([len(x) for x in names]), {}
+    for n in np.unique(lengths).tolist():
+        places = np.flatnonzero(lengths == n)
+        made = np.array([names[i].encode() for i in places], f"S{n}")
+        order = np.argsort(made)
+        found[n] = places[order], functools.cache(functools.partial(nearest.Trie, made[order], n))
+    return found
+
+
+def _compare(block: list[str], right_name: str, ratio: float, threshold: float, few: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The nearest right names of each left name, one of each length at least; for shares of the names of one block."""
+        chosen = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if len(left) and len(right):
+            # places in order of the spellings are ranks; code points order as UTF-8 bytes do
+            right = right.take(pc.sort_indices(right[right_name]))
+            known = _by_length(right["_b"].to_pylist())
+            for m, (a, coming) in _by_length(left["_a"].to_pylist()).items():
+                for n, (b, stored) in known.items():
+                    if not math.ceil(m * ratio - 1e-9) <= n <= math.floor(m / ratio + 1e-9):
+                        continue
+                    if len(a) * len(b) <= few * max(m, n):
+                        chosen.append((np.repeat(a, len(b)), np.tile(b, len(a))))
+                    else:
+                        i, j = nearest.nearest(coming(), stored(), b, math.floor(max(m, n) * (1 - threshold) + 1e-9))
+                        chosen.append((a[i], b[j]))
+        i, j = (pa.array(np.concatenate(x)) for x in zip(*chosen))
+        return pa.table({c: left[c].take(i) for c in [*block, "_a"]} | {c: right[c].take(j) for c in ["_b", right_name]})
+
+    return run
 
 
 def best_by_name(left: DataFrame, right: DataFrame, left_name: str, right_name: str, block: list[str], guard: float, threshold: float, keep: list[str]) -> DataFrame:
     """For each left row the most similar right name of its block, if similar enough.
 
-    Different normalised names meet once, and only where their lengths allow the threshold: as many edits as the lengths
-    differ by are needed at least. A distance is computed up to what the threshold allows. Within a block and length,
-    left names are spread over tasks and right names go to each of them.
+    Different normalised names meet by block, and only where their lengths allow the threshold: as many edits as the
+    lengths differ by are needed at least. Each task gets a share of the left and of the right names, names with a common
+    beginning together, and finds the nearest ones in tries (``nearest``); the best over lengths and shares follows.
     """
     a = left.withColumn("_a", normalize_name(F.col(left_name)))
-    names = right.withColumn("_b", normalize_name(F.col(right_name))).groupBy(*block, "_b").agg(F.min(right_name).alias(right_name))
-    ratio = max(guard, threshold)
-    n = F.length("_a")
-    lengths = F.sequence(F.ceil(n * ratio - 1e-9).cast("int"), F.floor(n / ratio + 1e-9).cast("int"))
-    distinct = a.select(*block, "_a").distinct().select("*", F.explode(lengths).alias("_n"), F.pmod(F.xxhash64("_a"), F.lit(SPREAD)).cast("int").alias("_task"))
-    names = names.select("*", F.length("_b").alias("_n"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_task"))
+    names = right.withColumn("_b", normalize_name(F.col(right_name))).where("_b is not null").groupBy(*block, "_b").agg(F.min(right_name).alias(right_name))
+    distinct = a.where("_a is not null").select(*block, "_a").distinct()
     # a given number of partitions, as few bytes make much work here and Spark would put them into one task
     session = left.sparkSession
     tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
-    rows = distinct.repartition(tasks, *block, "_n", "_task").join(names, [*block, "_n", "_task"])
+    parts = lambda most: F.ceil(F.count(F.lit(1)) / most)
+    lefts = distinct.groupBy(*block).agg(F.greatest(parts(LEFT), F.least(parts(SMALL), F.lit(tasks)), F.lit(1)).cast("int").alias("_lefts"))
+    rights = names.groupBy(*block).agg(F.greatest(parts(RIGHT), F.lit(1)).cast("int").alias("_rights"))
+    meet = lambda x, y: x.join(y, block) if block else x.crossJoin(y)
+    sizes = meet(lefts, rights)
+    share = lambda c, parts: F.pmod(F.xxhash64(F.substr(c, F.lit(1), F.length(c) - 2)), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    keys = [*block, "_left", "_right"]
+    coming = meet(distinct, sizes).select(*block, share(F.col("_a"), "_lefts").alias("_left"), every("_rights").alias("_right"), "_a")
+    stored = meet(names, sizes).select(*block, every("_lefts").alias("_left"), share(F.col("_b"), "_rights").alias("_right"), "_b", right_name)
+    # new names for the columns, as both sides come from the same tables
+    dealt = lambda rows: rows.toDF(*rows.columns).repartition(tasks, *keys).groupBy(*keys)
+    schema = T.StructType([*coming.select(*block, "_a").schema, *stored.select("_b", right_name).schema])
+    rows = dealt(coming).cogroup(dealt(stored)).applyInArrow(_compare(block, right_name, max(guard, threshold), threshold, FEW), schema)
     # numbered rows keep the filter behind the score, which would otherwise be computed twice
     rows = rows.withColumn("score", sim.edit_similarity(F.col("_a"), F.col("_b"), guard, threshold)).withColumn("_row", F.monotonically_increasing_id())
     rows = rows.where((F.col("score") >= threshold) & (F.col("_row") >= 0)).drop("_row")

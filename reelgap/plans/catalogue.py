@@ -125,7 +125,7 @@ def q_levenshtein_best_match(spark, sf_dir):
 m AS (SELECT actor_name, slug, {EDIT.format(a="x", b="y", g=0.4)} AS score FROM a, b)
 SELECT actor_name, slug, round(score, 6) AS score FROM m WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY actor_name ORDER BY score DESC, slug) = 1""")
 def q_actor_slug_match_guard04(spark, sf_dir):
-    actors, slugs = table(spark, sf_dir, "customer").select(F.col("c_name").alias("actor_name")), table(spark, sf_dir, "supplier").select(F.col("s_name").alias("slug"))
+    actors, slugs = table(spark, sf_dir, "customer").select(F.col("c_name").alias("actor_name")).distinct(), table(spark, sf_dir, "supplier").select(F.col("s_name").alias("slug"))
     return match.best_by_name(actors, slugs, "actor_name", "slug", [], 0.4, 0.6, ["actor_name"]).withColumn("score", F.round("score", 6))
 
 
